@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from presswork import settings as S
+from presswork.functions.once import let
 from presswork.functions.text import clean_byline, clean_content, strip
 
 
@@ -80,99 +81,113 @@ def visible_markup(html: Column) -> Column:
 def decode_entities(text: Column) -> Column:
     """Decode named, decimal and hexadecimal character references in a single pass."""
     names = F.str_to_map(F.lit(_ENTITIES), F.lit("\u0002"), F.lit("\u0001"))
+    reference = "^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
 
-    def from_code(code: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    def number(ref: Column) -> Column:
+        return (
+            F.when(ref.startswith("#x") | ref.startswith("#X"), F.conv(F.substring(ref, 3, 6), 16, 10))
+            .when(ref.startswith("#"), F.substring(ref, 2, 7))
+            .cast("int")
+        )
+
+    def sign(code: Column, ref: Column) -> Column:
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        numeric = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(valid, numeric).when(ref != "", F.try_element_at(names, ref))
 
     def piece(part: Column) -> Column:
-        ref = F.regexp_extract(part, "^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
-        number = F.when(
-            ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10).cast("long")
-        ).when(ref.startswith("#"), F.substring(ref, 2, 7).cast("long"))
-        text = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), from_code(number))
-        text = F.coalesce(text, F.when((ref != "") & ~ref.startswith("#"), F.try_element_at(names, ref)))
-        return F.when(text.isNull(), F.concat(F.lit("&"), part)).otherwise(
-            F.concat(text, F.substr(part, F.length(ref) + 2))
-        )
+        def rebuilt(ref: Column) -> Column:
+            return let(
+                let(number(ref), lambda code: sign(code, ref)),
+                lambda text: F.when(text.isNull(), F.concat(F.lit("&"), part)).otherwise(
+                    F.concat(text, F.substr(part, F.length(ref) + 2))
+                ),
+            )
+
+        return let(F.regexp_extract(part, reference, 1), rebuilt)
 
-    parts = F.transform(
-        F.split(text, "&"), lambda part, i: F.when(i == 0, part).otherwise(piece(part))
+    return F.array_join(
+        F.transform(F.split(text, "&"), lambda part, i: F.when(i == 0, part).otherwise(piece(part))), ""
     )
-    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
 
 
-def _until_closed(rest: Column, tag: Column | str) -> Column:
-    """The part of ``rest`` before the end tag that closes an element opened just before it."""
-    tag = F.lit(tag) if isinstance(tag, str) else tag
-    steps = F.split(rest, F.concat(F.lit("(?i)(?=</?"), tag, F.lit("\\b)")))
+def _element_end(start: Column, tag: Column) -> Column:
+    """The element that ``start`` begins with: up to the end tag that closes it."""
     closing = F.concat(F.lit("(?i)^</"), tag, F.lit("\\b"))
-    opened = F.concat(F.lit("(?i)^<"), tag, F.lit("\\b"))
+    opening = F.concat(F.lit("(?i)^<"), tag, F.lit("\\b"))
 
-    def walk(state: Column, step: Column) -> Column:
-        depth = (
-            F.when(F.regexp_like(step, closing), state.depth - 1)
-            .when(F.regexp_like(step, opened), state.depth + 1)
-            .otherwise(state.depth)
-        )
-        is_open = (state.depth > 0) & (depth > 0)
-        return F.struct(
-            F.when(state.depth > 0, depth).otherwise(F.lit(0)).alias("depth"),
-            (state.taken + is_open.cast("int")).alias("taken"),
+    def level(step: Column) -> Column:
+        return F.when(F.regexp_like(step, opening), 1).when(F.regexp_like(step, closing), -1).otherwise(0)
+
+    def walk(state: Column, change: Column) -> Column:
+        return F.when(state.closed, state).otherwise(
+            F.struct(
+                (state.depth + change).alias("depth"),
+                (state.taken + (state.depth + change > 0).cast("int")).alias("taken"),
+                (state.depth + change <= 0).alias("closed"),
+            )
         )
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
-    taken = F.aggregate(steps, start, walk, lambda state: state.taken)
-    return F.array_join(F.slice(steps, F.lit(1), taken), "")
+    def inside(steps: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("taken"), F.lit(False).alias("closed"))
+        taken = F.aggregate(F.transform(steps, level), begin, walk, lambda state: state.taken)
+        return F.array_join(F.slice(steps, F.lit(1), taken), "")
+
+    return let(F.split(start, F.concat(F.lit("(?i)(?=</?"), tag, F.lit("\\b)"))), inside)
+
+
+def _inner(start: Column) -> Column:
+    """Inner markup of the element that ``start`` begins with."""
+    tag = F.regexp_extract(start, "^<([a-zA-Z][a-zA-Z0-9]*)", 1)
+    return F.regexp_replace(_element_end(start, tag), "^<[^>]*>", "")
+
+
+def _start(html: Column, rule: Rule) -> Column:
+    """``html`` from the first element that matches ``rule`` on; null when there is none."""
+    return F.regexp_substr(html, F.lit(f"(?is){rule.opening()}.*"))
 
 
 def element(html: Column, rule: Rule) -> Column:
     """Inner markup of the first element that matches ``rule``; null when there is none."""
-    opening = f"(?is){rule.opening()}"
-    tag = F.regexp_extract(html, opening, 1) if rule.tag == "*" else rule.tag
-    rest = F.regexp_extract(html, f"{opening}(.*)", 2)
-    return F.when(F.regexp_like(html, F.lit(opening)), _until_closed(rest, tag))
+    return let(_start(html, rule), _inner)
 
 
 def elements(html: Column, rule: Rule) -> Column:
-    """Inner markup of every matching element that is not nested in another match."""
-    marked = F.regexp_replace(html, f"(?is){rule.opening()}", "\u0000$0")
-    tails = F.slice(F.split(marked, "\u0000"), F.lit(2), F.size(F.split(marked, "\u0000")))
-    return F.transform(
-        tails, lambda tail: _until_closed(F.regexp_replace(tail, f"(?is)^{rule.opening()}", ""), rule.tag)
-    )
+    """Inner markup of every matching element."""
+    marked = F.regexp_replace(html, f"(?is){rule.opening()}", f"{_NODE_BREAK}$0")
+    parts = F.split(marked, _NODE_BREAK)
+    return F.transform(F.filter(parts, lambda part, i: i > 0), _inner)
 
 
-def text_of(markup: Column, joined: Column | bool = False) -> Column:
-    """Text of a piece of markup; where ``joined``, text nodes are trimmed and put together."""
-    nodes = decode_entities(F.regexp_replace(markup, _TAG, _NODE_BREAK))
-    plain = F.replace(nodes, F.lit(_NODE_BREAK), F.lit(""))
-    if joined is False:
-        return plain
-    trimmed = F.array_join(F.transform(F.split(nodes, _NODE_BREAK), strip), "")
-    return F.when(joined, trimmed).otherwise(plain)
+def text_of(markup: Column) -> Column:
+    return decode_entities(F.regexp_replace(markup, _TAG, ""))
 
 
 def first_text(html: Column, rules: list[Rule]) -> Column:
-    """Text of the first rule whose element exists, else ''."""
-    found = F.coalesce(
-        *[
-            F.when(
-                F.regexp_like(html, F.lit(f"(?is){r.opening()}")),
-                F.struct(element(html, r).alias("markup"), F.lit(r.joined).alias("joined")),
-            )
-            for r in rules
-        ]
-    )
-    joined = found["joined"] if any(r.joined for r in rules) else False
-    return F.coalesce(text_of(found["markup"], joined), F.lit(""))
+    """Trimmed text of the first rule whose element exists, else ''.
+
+    A joined rule keeps a mark between the text nodes, so that each is trimmed; without
+    marks the whole text is the only node.
+    """
+    starts = [
+        F.concat(F.lit(_NODE_BREAK), _start(html, r)) if r.joined else _start(html, r) for r in rules
+    ]
+
+    def nodes(start: Column) -> Column:
+        mark = F.when(start.startswith(_NODE_BREAK), F.lit(_NODE_BREAK)).otherwise(F.lit(""))
+        inner = let(F.ltrim(start, F.lit(_NODE_BREAK)), _inner)
+        return F.split(decode_entities(F.regexp_replace(inner, F.lit(_TAG), mark)), _NODE_BREAK)
+
+    text = F.array_join(F.transform(let(F.coalesce(*starts), nodes), strip), "")
+    return F.coalesce(text, F.lit(""))
 
 
 def extract_title(html: Column, rules: list[Rule] | None = None) -> Column:
-    return strip(first_text(html, rules or TITLE_RULES))
+    return first_text(html, rules or TITLE_RULES)
 
 
 def extract_publisher(html: Column, rules: list[Rule] | None = None) -> Column:
-    return strip(first_text(html, rules or PUBLISHER_RULES))
+    return first_text(html, rules or PUBLISHER_RULES)
 
 
 def extract_content(html: Column, rules: list[Rule] | None = None) -> Column:
@@ -186,12 +201,11 @@ def reporter_cards(
     suffix: str = S.REPORTER_SUFFIX,
 ) -> Column:
     """Names on the reporter cards joined with ','; null when no card carries a name."""
-    names = F.transform(elements(html, card), lambda c: text_of(element(c, name)))
-    names = F.transform(
-        F.filter(names, lambda n: n.isNotNull()),
-        lambda n: strip(F.replace(n, F.lit(suffix), F.lit(""))),
+    found = F.filter(
+        F.transform(elements(html, card), lambda c: element(c, name)), lambda n: n.isNotNull()
     )
-    return F.when(F.size(names) > 0, F.array_join(names, ","))
+    names = F.transform(found, lambda n: strip(F.replace(text_of(n), F.lit(suffix), F.lit(""))))
+    return let(names, lambda n: F.when(F.size(n) > 0, F.array_join(n, ",")))
 
 
 def extract_reporter(html: Column) -> Column:

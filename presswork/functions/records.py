@@ -19,15 +19,6 @@ def digest(*fields: Column) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def computed_once(*columns: Column) -> Column:
-    """Generator that yields ``columns`` as they are.
-
-    Filters and projections above a generator refer to its output, so costly expressions are
-    not copied into each of them.
-    """
-    return F.inline(F.array(F.struct(*columns)))
-
-
 def content_key() -> Column:
     """Narrow stand-in for (title, content, journalist_name, publisher)."""
     return digest(*[F.col(name) for name in CONTENT_FIELDS])

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from presswork import settings as S
+from presswork.functions.once import let
 from presswork.functions.text import strip
 
 
@@ -50,11 +51,12 @@ def padded_content(content: Column, description: Column, minimum: int = S.MIN_CO
 
 def parse_json_strict(text: Column) -> Column:
     """VARIANT of a complete JSON text; null for anything else, trailing text included."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    single = F.try_variant_get(wrapped, "$[0]", "variant").isNotNull() & F.try_variant_get(
-        wrapped, "$[1]", "variant"
-    ).isNull()
-    return F.when(single, F.try_variant_get(wrapped, "$[0]", "variant"))
+
+    def only_element(wrapped: Column) -> Column:
+        second = F.try_variant_get(wrapped, "$[1]", "variant")
+        return F.when(second.isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+
+    return let(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), only_element)
 
 
 def validate_payload(text: Column) -> Column:
@@ -63,18 +65,21 @@ def validate_payload(text: Column) -> Column:
     Both fields must be there, the score a JSON integer in range (``true``, ``75.0`` and
     ``"75"`` are refused) and the explanation a non-blank string; other keys are tolerated.
     """
-    body = parse_json_strict(text)
-    raw_score = F.try_variant_get(body, f"$.{S.SCORE_FIELD}", "variant")
-    raw_text = F.try_variant_get(body, f"$.{S.EXPLANATION_FIELD}", "variant")
-    score = F.try_variant_get(body, f"$.{S.SCORE_FIELD}", "int")
-    explanation = strip(F.try_variant_get(body, f"$.{S.EXPLANATION_FIELD}", "string"))
-    good = (
-        (F.schema_of_variant(raw_score) == "BIGINT")
-        & score.between(S.MIN_SCORE, S.MAX_SCORE)
-        & (F.schema_of_variant(raw_text) == "STRING")
-        & (explanation != "")
-    )
-    return F.when(good, F.struct(score.alias("score"), explanation.alias("explanation")))
+
+    def checked(body: Column) -> Column:
+        def kind(field: str) -> Column:
+            return F.schema_of_variant(F.try_variant_get(body, f"$.{field}", "variant"))
+
+        typed = (kind(S.SCORE_FIELD) == "BIGINT") & (kind(S.EXPLANATION_FIELD) == "STRING")
+        score = F.try_variant_get(body, f"$.{S.SCORE_FIELD}", "int")
+        explanation = strip(F.try_variant_get(body, f"$.{S.EXPLANATION_FIELD}", "string"))
+        return F.when(typed, F.struct(score.alias("score"), explanation.alias("explanation")))
+
+    def in_range(answer: Column) -> Column:
+        good = answer.score.between(S.MIN_SCORE, S.MAX_SCORE) & (answer.explanation != "")
+        return F.when(good, answer)
+
+    return let(let(parse_json_strict(text), checked), in_range)
 
 
 def cleansed_update(score: Column, explanation: Column) -> Column:

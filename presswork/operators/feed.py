@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from presswork import settings as S
 from presswork.functions import dates, html, text, validation
-from presswork.functions.records import computed_once
+from presswork.functions.once import computed_once
 from presswork.operators import skew
 
 

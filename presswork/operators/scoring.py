@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import settings as S
-from presswork.functions.records import computed_once, scoring_request
+from presswork.functions.once import computed_once
+from presswork.functions.records import scoring_request
 from presswork.functions.validation import cleansed_update, validate_payload
 from presswork.operators import skew
 

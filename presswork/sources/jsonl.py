@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import schemas
-from presswork.functions.records import computed_once
+from presswork.functions.once import computed_once
 from presswork.functions.validation import parse_json_strict
 
 
