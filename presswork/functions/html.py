@@ -8,6 +8,7 @@ one. All of it runs as Spark expressions inside the scan stage.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 from html.entities import html5
 
@@ -32,13 +33,13 @@ class Rule:
         """Pattern of the start tag; a class value may be one of several words."""
         name = self.tag if self.tag != "*" else "[a-zA-Z][a-zA-Z0-9]*"
         if self.attribute is None:
-            return f"<({name})\\b[^>]*>"
+            return f"<{name}\\b[^>]*>"
         inner = re.escape(self.value)
         if self.attribute == "class":
             body = f"(?:\"(?:[^\"]*\\s)?{inner}(?:\\s[^\"]*)?\"|'(?:[^']*\\s)?{inner}(?:\\s[^']*)?')"
         else:
             body = f"(?:\"{inner}\"|'{inner}')"
-        return f"<({name})\\b[^>]*?\\s{self.attribute}\\s*=\\s*{body}[^>]*>"
+        return f"<{name}\\b[^>]*?\\s{self.attribute}\\s*=\\s*{body}[^>]*>"
 
 
 # --- fixed values: where the news site keeps each field, in order of preference -----------
@@ -67,14 +68,14 @@ _NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 _ENTITIES = "\u0002".join(
     f"{name}\u0001{_NAMED[name]}" for name in [*_FREQUENT, *(n for n in _NAMED if n not in _FREQUENT)]
 )
-_TAG = "(?s)</?[a-zA-Z][^>]*>|<[!?][^>]*>"
+_TAG = "<(?:/?[a-zA-Z]|[!?])[^>]*>"
 _NODE_BREAK = "\u0000"
 
 
 def visible_markup(html: Column) -> Column:
     """Drop comments, scripts and styles, whose text is never part of a field."""
     return F.regexp_replace(
-        html, "(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>", ""
+        html, "(?is)<(?:!--.*?-->|script\\b[^>]*>.*?</script\\s*>|style\\b[^>]*>.*?</style\\s*>)", ""
     )
 
 
@@ -137,19 +138,55 @@ def _element_end(start: Column, tag: Column) -> Column:
 
 
 def _inner(start: Column) -> Column:
-    """Inner markup of the element that ``start`` begins with."""
-    tag = F.regexp_extract(start, "^<([a-zA-Z][a-zA-Z0-9]*)", 1)
-    return F.regexp_replace(_element_end(start, tag), "^<[^>]*>", "")
+    """Inner markup of the element that ``start`` begins with.
 
+    Most elements hold no other of their kind: then they end at the first end tag and the
+    rest of the page is not looked at.
+    """
+
+    def first_end(start: Column, tag: Column) -> Column:
+        return F.call_function("substring_index", start, F.concat(F.lit("</"), tag), F.lit(1))
+
+    def ended(tag: Column) -> Column:
+        def simple_or_nested(head: Column) -> Column:
+            kin = F.regexp_count(head, F.concat(F.lit("(?i)</?"), tag, F.lit("\\b")))
+            is_simple = (kin == 1) & (F.octet_length(head) < F.octet_length(start))
+            return F.when(is_simple, head).otherwise(_element_end(start, tag))
+
+        return let(first_end(start, tag), simple_or_nested)
 
-def _start(html: Column, rule: Rule) -> Column:
-    """``html`` from the first element that matches ``rule`` on; null when there is none."""
-    return F.regexp_substr(html, F.lit(f"(?is){rule.opening()}.*"))
+    element = let(F.regexp_extract(start, "^<([a-zA-Z][a-zA-Z0-9]*)", 1), ended)
+    return F.regexp_replace(element, "^<[^>]*>", "")
 
 
-def element(html: Column, rule: Rule) -> Column:
+def _from(html: Column, start_tag: Column) -> Column:
+    return F.substr(html, F.position(start_tag, html))
+
+
+def start_tags(html: Column, rules: Sequence[Rule]) -> Column:
+    """Every start tag that one of ``rules`` may want, in page order, found in one pass.
+
+    A cheap pattern on tag names and wanted values picks the candidates; each rule then looks
+    at these few short texts instead of the page.
+    """
+    names = "|".join(sorted({r.tag for r in rules if r.tag != "*"})) or "[a-zA-Z][a-zA-Z0-9]*"
+    if any(r.tag == "*" for r in rules):
+        names = "[a-zA-Z][a-zA-Z0-9]*"
+    wanted = ""
+    if all(r.attribute for r in rules):
+        values = "|".join(sorted({re.escape(r.value) for r in rules}))
+        wanted = f"\\s[^>]*?(?:{values})"
+    return F.regexp_extract_all(html, F.lit(f"(?is)<(?:{names})\\b{wanted}[^>]*>"), F.lit(0))
+
+
+def _tags_of(tags: Column, rule: Rule) -> Column:
+    return F.filter(tags, lambda tag: F.regexp_like(tag, F.lit(f"(?is)^{rule.opening()}$")))
+
+
+def element(html: Column, rule: Rule, tags: Column | None = None) -> Column:
     """Inner markup of the first element that matches ``rule``; null when there is none."""
-    return let(_start(html, rule), _inner)
+    tags = start_tags(html, [rule]) if tags is None else tags
+    return let(F.get(_tags_of(tags, rule), F.lit(0)), lambda tag: let(_from(html, tag), _inner))
 
 
 def elements(html: Column, rule: Rule) -> Column:
@@ -163,35 +200,44 @@ def text_of(markup: Column) -> Column:
     return decode_entities(F.regexp_replace(markup, _TAG, ""))
 
 
-def first_text(html: Column, rules: list[Rule]) -> Column:
+def first_text(html: Column, rules: Sequence[Rule], tags: Column | None = None) -> Column:
     """Trimmed text of the first rule whose element exists, else ''.
 
     A joined rule keeps a mark between the text nodes, so that each is trimmed; without
     marks the whole text is the only node.
     """
-    starts = [
-        F.concat(F.lit(_NODE_BREAK), _start(html, r)) if r.joined else _start(html, r) for r in rules
-    ]
-
-    def nodes(start: Column) -> Column:
-        mark = F.when(start.startswith(_NODE_BREAK), F.lit(_NODE_BREAK)).otherwise(F.lit(""))
-        inner = let(F.ltrim(start, F.lit(_NODE_BREAK)), _inner)
+    tags = start_tags(html, rules) if tags is None else tags
+
+    def chosen(found: Column) -> Column:
+        options = []
+        for rule in rules:
+            tag = F.get(_tags_of(found, rule), F.lit(0))
+            options.append(F.concat(F.lit(_NODE_BREAK), tag) if rule.joined else tag)
+        return F.coalesce(*options)
+
+    def nodes(tag: Column) -> Column:
+        mark = F.when(tag.startswith(_NODE_BREAK), F.lit(_NODE_BREAK)).otherwise(F.lit(""))
+        inner = let(_from(html, F.ltrim(tag, F.lit(_NODE_BREAK))), _inner)
         return F.split(decode_entities(F.regexp_replace(inner, F.lit(_TAG), mark)), _NODE_BREAK)
 
-    text = F.array_join(F.transform(let(F.coalesce(*starts), nodes), strip), "")
+    text = F.array_join(F.transform(let(let(tags, chosen), nodes), strip), "")
     return F.coalesce(text, F.lit(""))
 
 
-def extract_title(html: Column, rules: list[Rule] | None = None) -> Column:
-    return first_text(html, rules or TITLE_RULES)
+def extract_title(html: Column, rules: Sequence[Rule] = TITLE_RULES, tags: Column | None = None) -> Column:
+    return first_text(html, rules, tags)
 
 
-def extract_publisher(html: Column, rules: list[Rule] | None = None) -> Column:
-    return first_text(html, rules or PUBLISHER_RULES)
+def extract_publisher(
+    html: Column, rules: Sequence[Rule] = PUBLISHER_RULES, tags: Column | None = None
+) -> Column:
+    return first_text(html, rules, tags)
 
 
-def extract_content(html: Column, rules: list[Rule] | None = None) -> Column:
-    return clean_content(first_text(html, rules or CONTENT_RULES))
+def extract_content(
+    html: Column, rules: Sequence[Rule] = CONTENT_RULES, tags: Column | None = None
+) -> Column:
+    return clean_content(first_text(html, rules, tags))
 
 
 def reporter_cards(
@@ -199,16 +245,19 @@ def reporter_cards(
     card: Rule = CARD_RULE,
     name: Rule = CARD_NAME_RULE,
     suffix: str = S.REPORTER_SUFFIX,
+    tags: Column | None = None,
 ) -> Column:
     """Names on the reporter cards joined with ','; null when no card carries a name."""
+    tags = start_tags(html, [card]) if tags is None else tags
     found = F.filter(
         F.transform(elements(html, card), lambda c: element(c, name)), lambda n: n.isNotNull()
     )
     names = F.transform(found, lambda n: strip(F.replace(text_of(n), F.lit(suffix), F.lit(""))))
-    return let(names, lambda n: F.when(F.size(n) > 0, F.array_join(n, ",")))
+    joined = let(names, lambda n: F.when(F.size(n) > 0, F.array_join(n, ",")))
+    return F.when(F.size(_tags_of(tags, card)) > 0, joined)
 
 
-def extract_reporter(html: Column) -> Column:
+def extract_reporter(html: Column, tags: Column | None = None) -> Column:
     """Reporter cards, else the first byline, else ''."""
-    byline = clean_byline(text_of(element(html, BYLINE_RULE)))
-    return F.coalesce(reporter_cards(html), byline, F.lit(""))
+    byline = clean_byline(text_of(element(html, BYLINE_RULE, tags)))
+    return F.coalesce(reporter_cards(html, tags=tags), byline, F.lit(""))

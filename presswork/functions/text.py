@@ -75,7 +75,7 @@ def clean_content(text: Column, limit: int = S.MAX_CONTENT_LENGTH) -> Column:
 
 
 def drop_tags(text: Column) -> Column:
-    return F.regexp_replace(text, "(?s)<!--.*?-->|</?[a-zA-Z][^>]*>|<[!?][^>]*>", "")
+    return F.regexp_replace(text, "(?s)<(?:!--.*?-->|(?:/?[a-zA-Z]|[!?])[^>]*>)", "")
 
 
 def strip_entities(text: Column) -> Column:

@@ -23,20 +23,26 @@ def news_links(items: DataFrame, fragment: str = S.LINK_FRAGMENT) -> DataFrame:
 
 def extract_pages(
     pages: DataFrame,
-    title_rules: Sequence[html.Rule] | None = None,
-    publisher_rules: Sequence[html.Rule] | None = None,
-    content_rules: Sequence[html.Rule] | None = None,
+    title_rules: Sequence[html.Rule] = html.TITLE_RULES,
+    publisher_rules: Sequence[html.Rule] = html.PUBLISHER_RULES,
+    content_rules: Sequence[html.Rule] = html.CONTENT_RULES,
 ) -> DataFrame:
-    """Title, publisher, reporter and body of each page (columns ``url``, ``html``)."""
-    markup = pages.withColumn("html", html.visible_markup(F.col("html")))
-    page = F.col("html")
-    return markup.select(
-        *[c for c in pages.columns if c != "html"],
+    """Title, publisher, reporter and body of each page (columns ``url``, ``html``).
+
+    The page is searched once for the start tags of all fields. No shuffle, one pass.
+    """
+    rest = [c for c in pages.columns if c != "html"]
+    rules = [*title_rules, *publisher_rules, *content_rules, html.BYLINE_RULE, html.CARD_RULE]
+    page, tags = F.col("_page"), F.col("_tags")
+    markup = pages.select(*rest, computed_once(html.visible_markup(F.col("html")).alias("_page")))
+    tagged = markup.select(*rest, page, computed_once(html.start_tags(page, rules).alias("_tags")))
+    return tagged.select(
+        *rest,
         computed_once(
-            html.extract_title(page, title_rules).alias("page_title"),
-            html.extract_publisher(page, publisher_rules).alias("page_publisher"),
-            html.extract_reporter(page).alias("page_reporter"),
-            html.extract_content(page, content_rules).alias("page_content"),
+            html.extract_title(page, title_rules, tags).alias("page_title"),
+            html.extract_publisher(page, publisher_rules, tags).alias("page_publisher"),
+            html.extract_reporter(page, tags).alias("page_reporter"),
+            html.extract_content(page, content_rules, tags).alias("page_content"),
         ),
     )
 
