@@ -80,9 +80,12 @@ def visible_markup(html: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """Decode named, decimal and hexadecimal character references in a single pass."""
+    """Decode named, decimal and hexadecimal character references in a single pass.
+
+    The closing semicolon may be missing; unknown references stay as they are.
+    """
     names = F.str_to_map(F.lit(_ENTITIES), F.lit("\u0002"), F.lit("\u0001"))
-    reference = "^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+    reference = "^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);?"
 
     def number(ref: Column) -> Column:
         return (
@@ -101,7 +104,7 @@ def decode_entities(text: Column) -> Column:
             return let(
                 let(number(ref), lambda code: sign(code, ref)),
                 lambda text: F.when(text.isNull(), F.concat(F.lit("&"), part)).otherwise(
-                    F.concat(text, F.substr(part, F.length(ref) + 2))
+                    F.concat(text, F.regexp_replace(part, reference, ""))
                 ),
             )
 
