@@ -74,7 +74,7 @@ def group_members(
     articles: DataFrame, hot_rows: int = skew.HOT_ROWS, partitions: int | None = None
 ) -> DataFrame:
     """Every member of every duplicate group with its rank, in place of an array per group."""
-    ranked = _ranked(articles)
+    ranked = materialise(_ranked(articles), "ranked")
     groups = _group_summary(ranked).where("duplicate_count > 1").select(
         "content_key", F.col("duplicate_count").alias("n_rows")
     )
@@ -94,8 +94,11 @@ def group_members(
 
 
 def losers(articles: DataFrame) -> DataFrame:
-    """Ids to delete: every article that is not the survivor of its group."""
-    ranked = _ranked(articles)
+    """Ids to delete: every article that is not the survivor of its group.
+
+    The texts are read and digested once; the rest works on the narrow copy.
+    """
+    ranked = materialise(_ranked(articles), "ranked")
     kept = _group_summary(ranked).select(F.col("kept_id").alias("id"))
     return ranked.select("id", "content_key").join(kept, "id", "left_anti")
 
@@ -198,7 +201,7 @@ def existing_urls(urls: DataFrame, stored: DataFrame) -> DataFrame:
     A small request is broadcast against the scan of the stored URLs; a large one is
     shuffled on the URL.
     """
-    wanted = skew.broadcast_if_small(urls.distinct())
+    wanted = skew.broadcast_if_small(urls.distinct(), probe=urls)
     return stored.select("naver_url").join(wanted, "naver_url", "left_semi").distinct()
 
 
@@ -245,7 +248,10 @@ def duplicate_links(articles: DataFrame, hot_rows: int = skew.HOT_ROWS) -> DataF
     The links of a group form a star, so their number grows with the table, not with the
     square of a group; every duplicate pair of a group shares its centre.
     """
-    keyed = articles.select("id", F.col("naver_url").alias("url"), content_key().alias("digest"))
+    keyed = materialise(
+        articles.select("id", F.col("naver_url").alias("url"), content_key().alias("digest")),
+        "link-keys",
+    )
 
     def links(column: str, via: str) -> DataFrame:
         groups = (

@@ -125,17 +125,23 @@ def strict_updates(
     return _keep_batches(good, applicable, "left_semi", spread, hot_rows).drop("error")
 
 
-def one_update_per_article(updates: DataFrame, batch_order: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """Within a batch the last line of an article wins; across batches the first batch does.
+def one_update_per_article(
+    updates: DataFrame, batches: DataFrame | None = None, hot_rows: int = skew.HOT_ROWS
+) -> DataFrame:
+    """Within a batch the last line of an article wins; across batches the oldest batch does.
 
-    A later batch finds the article scored and leaves it alone.
+    A later batch finds the article scored and leaves it alone. Age is ``created_at`` of
+    ``batches``, or the order of the batch ids without it.
     """
-    last = updates.groupBy("article_id", *batch_order).agg(
+    last = updates.groupBy("article_id", "batch_id").agg(
         F.max_by(F.struct("score", "explanation"), "pos").alias("update")
     )
-    first = last.groupBy("article_id").agg(
-        F.min_by("update", F.struct(*batch_order)).alias("update")
-    )
+    age = ["batch_id"]
+    if batches is not None and "created_at" in batches.columns:
+        times = batches.groupBy("batch_id").agg(F.min("created_at").alias("created_at"))
+        last = skew.salted_join(last, times, ["batch_id"], "left", ["article_id"], hot_rows=hot_rows)
+        age = ["created_at", "batch_id"]
+    first = last.groupBy("article_id").agg(F.min_by("update", F.struct(*age)).alias("update"))
     return first.select("article_id", "update.score", "update.explanation")
 
 

@@ -13,6 +13,7 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 NULL_SALTS = 1024
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 _RUN_BITS = 33
 
@@ -64,12 +65,23 @@ def salted_join(
     return salted_left.drop("_salts").join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows, else leave it alone.
+def broadcast_if_small(
+    df: DataFrame,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
+    probe: DataFrame | None = None,
+) -> DataFrame:
+    """Mark ``df`` for broadcast when its rows and bytes are within bounds, else leave it alone.
 
-    The check reads no further than ``max_rows + 1`` rows. Meant for narrow frames.
+    The check looks at no more than ``max_rows + 1`` rows of ``probe``, a frame at least as
+    large as ``df`` that is cheaper to read (``df`` itself if not given).
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    probe = df if probe is None else probe
+    width = F.lit(0)
+    for name in probe.columns:
+        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+    found = probe.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return F.broadcast(df) if found.n <= max_rows and (found.b or 0) <= max_bytes else df
 
 
 def top_k(

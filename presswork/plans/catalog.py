@@ -14,7 +14,7 @@ from presswork.operators import dedup, feed, journalists, scoring, stats
 from presswork.plans import bindings as B
 from presswork.plans import jobs
 from presswork.plans.bindings import sql_clean, sql_strip
-from presswork.session import new_path
+from presswork.session import materialise, new_path
 from presswork.sources import jsonl, responses, tables
 from presswork.streaming import jobs as streams
 
@@ -1025,7 +1025,8 @@ updates AS (SELECT r.article_id, r.score, r.explanation, r.pos FROM res r JOIN v
 
 
 def _updates(spark, sf):
-    return scoring.one_update_per_article(scoring.strict_updates(_parsed(spark, sf)))
+    parsed = materialise(_parsed(spark, sf), "parsed")
+    return scoring.one_update_per_article(scoring.strict_updates(parsed))
 
 
 @query(

@@ -41,13 +41,18 @@ def ingest(
     linked = feed.news_links(items)
     fields = pages if extracted else feed.extract_pages(pages)
     combined = feed.with_reject_reason(feed.combine(linked, feed.usable_pages(fields)))
-    # Used four times below, and the page join is the most expensive step.
+    # Read several times below, and the page join is the most expensive step.
     checked = materialise(combined, "ingest-checked")
     valid = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     dated = valid if day is None else feed.until_older(valid, day, scope)
     unique = dedup.feed_dedup(dated, scope=scope)
-    labelled = dedup.insert_outcomes(unique, stored_articles)
-    inserted = labelled.where(F.col("outcome") == "inserted").drop("outcome")
+    narrow = unique.select("position", "naver_url")
+    labelled = materialise(
+        dedup.insert_outcomes(narrow, stored_articles).select("position", "outcome"),
+        "ingest-outcomes",
+    )
+    chosen = labelled.where(F.col("outcome") == "inserted").select("position")
+    inserted = dated.join(chosen, "position", "left_semi")
     known = journalists.resolve(inserted, stored_journalists)
     with_ids = journalists.attach_ids(
         inserted.withColumn("id", F.sha2("naver_url", 256)), known
@@ -105,7 +110,7 @@ def read_results(lines: DataFrame, articles: DataFrame, batches: DataFrame) -> A
     """Result lines to one update per unscored article, batch verdicts and unmatched ids."""
     fresh = scoring.skip_completed(lines, batches)
     parsed = materialise(scoring.parse_results(jsonl.parse_result_lines(fresh)), "results")
-    updates = scoring.one_update_per_article(scoring.strict_updates(parsed))
+    updates = scoring.one_update_per_article(scoring.strict_updates(parsed), batches)
     narrow = articles.select("id", "clickbait_score")
     return ApplyResult(
         updates=scoring.not_yet_scored(updates, narrow),

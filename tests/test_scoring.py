@@ -51,6 +51,11 @@ def test_last_line_wins_within_a_batch_and_first_batch_across(spark):
     rows = [("b1", line("1", 10)), ("b1", line("1", 20)), ("b2", line("1", 30)), ("b2", line("2", 40))]
     updates = scoring.one_update_per_article(scoring.strict_updates(scoring.parse_results(lines(spark, rows))))
     assert {r.article_id: r.score for r in updates.collect()} == {"1": 20, "2": 40}
+    batches = spark.createDataFrame([("b1", 5), ("b2", 4)], "batch_id string, created_at int")
+    strict = scoring.strict_updates(scoring.parse_results(lines(spark, rows)))
+    for hot_rows in (1, 1_000_000):
+        aged = scoring.one_update_per_article(strict, batches, hot_rows)
+        assert {r.article_id: r.score for r in aged.collect()} == {"1": 30, "2": 40}
 
 
 ARTICLE = "id string, title string, clickbait_score int, clickbait_explanation string, updated_at timestamp_ntz"

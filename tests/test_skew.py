@@ -78,3 +78,5 @@ def test_broadcast_check(spark):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(skew.broadcast_if_small(small, 10))
     assert not hinted(skew.broadcast_if_small(large, 10))
+    assert not hinted(skew.broadcast_if_small(small, 10, max_bytes=3))
+    assert not hinted(skew.broadcast_if_small(small, 10, probe=large))
