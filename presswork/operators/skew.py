@@ -23,6 +23,20 @@ def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def hot_keys(counts: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys with at least ``hot_rows`` rows and the number of tasks for each; None if there are none.
+
+    Looked up once, here: ``MAX_HOT_KEYS`` bounds the list whatever the table size, and a key
+    beyond it is merely joined like any other.
+    """
+    salts = F.ceil(F.col("n_rows") / F.lit(hot_rows)).cast("int").alias("_salts")
+    largest = (
+        counts.where(F.col("n_rows") >= hot_rows).orderBy(F.desc("n_rows")).limit(MAX_HOT_KEYS)
+    ).select(*on, salts)
+    found = largest.collect()
+    return F.broadcast(counts.sparkSession.createDataFrame(found, largest.schema)) if found else None
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -35,18 +49,14 @@ def salted_join(
     """Equi-join in which the rows of a hot left key go to several tasks.
 
     ``right`` holds each key once, or few times. ``counts`` (``on`` + ``n_rows``) gives the
-    rows per left key. At most ``MAX_HOT_KEYS`` keys are broadcast, whatever the table size;
-    a key beyond them is joined like any other, so the result never depends on the salt.
-    Left rows with a null key match nothing and are spread evenly.
+    rows per left key. Without a hot key this is the plain join. The result never depends on
+    the salt. Left rows with a null key match nothing; where they are many they are spread
+    evenly too.
     """
     counts = key_counts(left, on) if counts is None else counts
-    salts = F.ceil(F.col("n_rows") / F.lit(hot_rows)).cast("int").alias("_salts")
-    hot = F.broadcast(
-        counts.where(F.col("n_rows") >= hot_rows)
-        .orderBy(F.desc("n_rows"))
-        .limit(MAX_HOT_KEYS)
-        .select(*on, salts)
-    )
+    hot = hot_keys(counts, on, hot_rows)
+    if hot is None:
+        return left.join(right, list(on), how)
     slot = F.xxhash64(*spread)
     no_key = F.lit(False)
     for name in on:
