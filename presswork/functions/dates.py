@@ -16,7 +16,14 @@ def parse_rfc822(text: Column) -> Column:
 
 
 def local_time(instant: Column, zone: str = S.LOCAL_ZONE) -> Column:
-    return F.from_utc_timestamp(instant, zone)
+    """Wall-clock time in ``zone``, whatever the session's own zone is."""
+    return F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
+
+
+def instant_of(local: Column, zone: str = S.LOCAL_ZONE) -> Column:
+    """The instant of a wall-clock time in ``zone``."""
+    wall_clock = local.cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(zone), F.current_timezone(), wall_clock).cast("timestamp")
 
 
 def local_date(instant: Column, zone: str = S.LOCAL_ZONE) -> Column:

@@ -195,13 +195,13 @@ def _first_in_group(rows: DataFrame, keys: Sequence[str], size: str) -> DataFram
 # --- against stored rows -----------------------------------------------------------------------------
 
 
-def existing_urls(urls: DataFrame, stored: DataFrame) -> DataFrame:
+def existing_urls(urls: DataFrame, stored: DataFrame, probe: DataFrame | None = None) -> DataFrame:
     """Distinct stored URLs that occur in ``urls`` (one column ``naver_url``).
 
     A small request is broadcast against the scan of the stored URLs; a large one is
-    shuffled on the URL.
+    shuffled on the URL. ``probe`` may be a cheaper frame with at least as many rows.
     """
-    wanted = skew.broadcast_if_small(urls.distinct(), probe=urls)
+    wanted = skew.broadcast_if_small(urls.distinct(), probe=urls if probe is None else probe)
     return stored.select("naver_url").join(wanted, "naver_url", "left_semi").distinct()
 
 
@@ -209,7 +209,9 @@ def url_flags(
     urls: DataFrame, stored: DataFrame, column: str = "url", hot_rows: int = skew.HOT_ROWS
 ) -> DataFrame:
     """{url, exists} per distinct raw URL, looked up in normalised form."""
-    raw = urls.select(column).distinct().withColumn("naver_url", normalize_url(F.col(column)))
+    raw = materialise(
+        urls.select(column).distinct().withColumn("naver_url", normalize_url(F.col(column))), "raw-urls"
+    )
     found = existing_urls(raw.select("naver_url"), stored).withColumn("found", F.lit(True))
     return skew.salted_join(
         raw, found, ["naver_url"], "left", spread=[column], hot_rows=hot_rows
@@ -230,7 +232,9 @@ def insert_outcomes(
     The URL decides once per group; rows are then labelled by ``order``, which is unique.
     """
     firsts = articles.groupBy("naver_url").agg(F.min(order).alias(order))
-    found = existing_urls(firsts.select("naver_url"), stored).withColumn("found", F.lit(True))
+    found = existing_urls(
+        firsts.select("naver_url"), stored, probe=articles.select("naver_url")
+    ).withColumn("found", F.lit(True))
     verdict = firsts.join(found, "naver_url", "left").select(
         order, F.when(F.col("found"), "stored").otherwise("inserted").alias("verdict")
     )

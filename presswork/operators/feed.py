@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,8 +105,8 @@ def on_day(articles: DataFrame, day: date, zone: str = S.LOCAL_ZONE) -> DataFram
     """
     if "local_date" in articles.columns:
         return articles.where(F.col("local_date") == F.lit(day))
-    start = F.to_utc_timestamp(F.lit(day.isoformat()).cast("timestamp"), zone)
-    end = F.to_utc_timestamp(F.date_add(F.lit(day), 1).cast("timestamp"), zone)
+    start = dates.instant_of(F.lit(day), zone)
+    end = dates.instant_of(F.lit(day + timedelta(days=1)), zone)
     return articles.where((F.col("published_at") >= start) & (F.col("published_at") < end))
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import settings as S
-from presswork.functions.text import WHITESPACE
+from presswork.functions.dates import instant_of
+from presswork.functions.text import WHITESPACE, normalize_url
 from presswork.operators import stats
 
 CUE_WORDS = ["the", "and", "der", "que", "les", "SNS"]
@@ -74,8 +75,6 @@ _LINK_SQL = (
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles in feed order, newest first, with one row in 97 three days late."""
-    from presswork.functions.text import normalize_url
-
     late = "case when id % 97 = 50 then 3 * 86400 else 0 end"
     words = ", ".join(f"'{w}'" for w in S.DEFAULT_KEYWORDS)
     return (
@@ -90,7 +89,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
                 f"make_dt_interval(0, 0, 0, cast(id * 1020 + {late} as decimal(18, 6)))"
             ),
         )
-        .withColumn("published_at", F.to_utc_timestamp(F.col("local_at"), S.LOCAL_ZONE))
+        .withColumn("published_at", instant_of(F.col("local_at")))
         .withColumn("keyword", F.expr(f"element_at(array({words}), cast(id % 10 as int) + 1)"))
     )
 

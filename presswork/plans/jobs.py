@@ -70,7 +70,11 @@ def ingest(
 
 
 def save_ingest(result: IngestResult, articles_path: str, journalists_path: str) -> None:
-    """Append journalists, then articles. A rerun after a failure adds nothing twice."""
+    """Append journalists, then articles.
+
+    After a failure run the ingest again on the tables as they are: what was already written
+    is found stored and not added twice.
+    """
     people = materialise(result.new_journalists, "new-journalists")
     texts = materialise(result.new_articles, "new-articles")
     people.write.mode("append").parquet(journalists_path)

@@ -157,6 +157,3 @@ def test_batches(spark):
     orphan = scoring.orphan_batches(remote, batches).collect()
     assert [(r.batch_id, r.status, r.recovered) for r in orphan] == [("x", "completed", True)]
 
-
-def test_moves_table(spark):
-    assert scoring.status_moves(spark).count() == 7

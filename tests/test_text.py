@@ -113,6 +113,20 @@ def test_publication_times(evaluate):
     assert evaluate(values, local) == ["2024-01-15 10:30", "2024-01-16 08:30", None, None, None, None]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Seoul", "America/New_York"])
+def test_local_dates_do_not_depend_on_the_session(spark, evaluate, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        instant = F.col("v").cast("timestamp")
+        values = ["2024-01-14T14:59:59Z", "2024-01-14T15:00:00Z", "2024-07-15T14:59:59Z"]
+        days = evaluate(values, dates.local_date(instant).cast("string"))
+        back = evaluate(values, dates.instant_of(dates.local_time(instant)) == instant)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert days == ["2024-01-14", "2024-01-15", "2024-07-15"]
+    assert back == [True] * 3
+
+
 def test_day_window(evaluate):
     values = ["2024-02-29", "2024-05-31", "2024-06-01", "2024-02-28", "2024-13-01", "20240531", None]
     asof = F.lit("2024-05-31").cast("date")
