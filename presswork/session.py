@@ -31,14 +31,13 @@ def work_folder(spark: SparkSession) -> str:
     A machine-local folder is only made up in local mode: on a cluster a lost executor would
     take its files along, so an unset folder is an error there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="presswork-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="presswork-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
