@@ -454,7 +454,7 @@ def keyword_whitelist(spark, sf):
 
 def _decoded(column: str) -> str:
     for name, sign in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        column = f"replace({column}, '&{name};', '{sign}')"
+        column = f"regexp_replace({column}, '&{name}\\b;?', '{sign}', 'g')"
     return column
 
 
@@ -632,7 +632,7 @@ def body_padding(spark, sf):
 
 
 _DATE_TEXTS = """case id % 6 when 0 then substr(pubDate, 6) when 1 then replace(pubDate, '+0900', '+0000')
-    when 2 then replace(pubDate, ' 2024 ', ' 24 ') when 3 then replace(pubDate, ' +0900', '')
+    when 2 then regexp_replace(pubDate, ' [0-9]{2}([0-9]{2}) ', ' $1 ') when 3 then replace(pubDate, ' +0900', '')
     else pubDate end"""
 
 
