@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import uses_params
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,12 +14,6 @@ from presswork import settings as S
 # the text, where a regular expression would walk all of it.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
-# Schemes for which a last path segment may carry ";params" (RFC 1808 users).
-PARAM_SCHEMES = [
-    "", "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps", "rtspu", "sip", "sips",
-    "mms", "sftp", "tel",
-]
-
 
 def strip(text: Column) -> Column:
     """Trim Unicode whitespace from both ends."""
@@ -43,7 +38,7 @@ def normalize_url(
     rest = F.regexp_replace(address, scheme_pattern, "")
     host = F.regexp_extract(rest, "^//([^/]*)", 1)
     path = F.regexp_replace(rest, "^//[^/]*", "")
-    path = F.when(scheme.isin(PARAM_SCHEMES), F.regexp_replace(path, ";[^/]*$", "")).otherwise(path)
+    path = F.when(scheme.isin(uses_params), F.regexp_replace(path, ";[^/]*$", "")).otherwise(path)
     path = F.replace(path, F.lit(mobile_path), F.lit(canonical_path))
     path = F.regexp_replace(path, "(?s)(?<=.)/$", "")
     full = F.concat(F.coalesce(blank_to_null(scheme), F.lit(default_scheme)), F.lit("://"), host, path)

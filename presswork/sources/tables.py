@@ -19,26 +19,21 @@ def with_local_date(articles: DataFrame) -> DataFrame:
     return articles.withColumn("local_date", local_date(F.col("published_at")))
 
 
-def append_articles(articles: DataFrame, path: str) -> None:
-    """Append to the article table, laid out by local date.
+def _by_day(articles: DataFrame) -> DataFrame:
+    """One writer per day, several for a day that is large: AQE splits and merges by size."""
+    return articles.hint("rebalance", F.col("local_date"))
 
-    Hashing on date and a slice of the id keeps a day that holds most rows from ending up
-    in one writer.
-    """
-    slices = F.pmod(F.xxhash64("naver_url"), F.lit(32))
-    (
-        with_local_date(articles)
-        .repartition(F.col("local_date"), slices)
-        .write.mode("append")
-        .partitionBy("local_date")
-        .parquet(path)
-    )
+
+def append_articles(articles: DataFrame, path: str) -> None:
+    """Append to the article table, laid out by local date."""
+    _by_day(with_local_date(articles)).write.mode("append").partitionBy("local_date").parquet(path)
 
 
 def replace_days(staged: DataFrame, path: str) -> None:
     """Overwrite only the days present in ``staged``, which must not be read from ``path``."""
     (
-        staged.write.mode("overwrite")
+        _by_day(staged)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("local_date")
         .parquet(path)
