@@ -415,7 +415,9 @@ def prompt_render(spark, sf):
 
 @query(
     f"""WITH {B.ART} SELECT id, len(regexp_extract_all(content, 'the|and|der|que|les|SNS')) AS body_cues,
-    len(regexp_extract_all(title, '온라인 커뮤니티|네티즌들은|화들짝|SNS|논란|충격|경악|발칵|깜짝|화제')) AS title_cues
+    len(regexp_extract_all(title, '온라인 커뮤니티|네티즌들은|화들짝|SNS|논란|충격|경악|발칵|깜짝|화제')) AS title_cues,
+    len(regexp_extract_all(title, '충격|경악|발칵')) AS sensational_cues,
+    len(regexp_extract_all(title, '이것|저것|그것')) AS pronoun_cues
     FROM art"""
 )
 def lexical_cues(spark, sf):
@@ -423,6 +425,8 @@ def lexical_cues(spark, sf):
         "id",
         text.cue_count(F.col("content"), B.CUE_WORDS).alias("body_cues"),
         text.cue_count(F.col("title"), S.DEFAULT_KEYWORDS).alias("title_cues"),
+        text.cue_count(F.col("title"), S.SENSATIONAL_WORDS).alias("sensational_cues"),
+        text.cue_count(F.col("title"), S.VAGUE_PRONOUNS).alias("pronoun_cues"),
     )
 
 

@@ -37,7 +37,6 @@ VAGUE_PRONOUNS = ["이것", "저것", "그것"]
 SENSATIONAL_WORDS = ["충격", "경악", "발칵"]
 KEYWORD_PUNCTUATION = ".,'\"-+?!/()[]{}:;&%@#*^$_=~`\\"
 TREND_LIMIT = 5
-ITEMS_PER_PAGE = 100
 ITEMS_PER_KEYWORD = 1000
 
 # --- fixed values: scoring ---------------------------------------------------------------------

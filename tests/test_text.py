@@ -98,6 +98,16 @@ def test_prompt_marks_a_cut_body(spark):
     assert prompts == ["t|" + "x" * 700 + "...", "|"]
 
 
+def test_cue_words(evaluate):
+    values = ["충격! 이것이 충격", "온라인 커뮤니티 화제", "평범한 제목"]
+    from presswork import settings
+
+    count = lambda words: evaluate(values, text.cue_count(F.col("v"), words))
+    assert count(settings.DEFAULT_KEYWORDS) == [2, 2, 0]
+    assert count(settings.SENSATIONAL_WORDS) == [2, 0, 0]
+    assert count(settings.VAGUE_PRONOUNS) == [1, 0, 0]
+
+
 def test_score_bands(evaluate):
     values = [0, 20, 21, 60, 81, 100, None]
     bands = evaluate(values, text.score_band(F.col("v")), "int")
