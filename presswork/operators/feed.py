@@ -58,6 +58,16 @@ def usable_pages(extracted: DataFrame) -> DataFrame:
     return extracted.where(reason.isNull())
 
 
+def one_per_url(pages: DataFrame) -> DataFrame:
+    """One page per ``naver_url``, the same one on every run, so that a join adds no rows."""
+    fields = [c for c in pages.columns if c != "naver_url"]
+    return (
+        pages.groupBy("naver_url")
+        .agg(F.min(F.struct(*fields)).alias("_page"))
+        .select("naver_url", "_page.*")
+    )
+
+
 def combine(items: DataFrame, pages: DataFrame, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """Join items to their pages; page fields win, empty ones fall back to the item.
 

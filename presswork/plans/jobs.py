@@ -40,7 +40,8 @@ def ingest(
     """
     linked = feed.news_links(items)
     fields = pages if extracted else feed.extract_pages(pages)
-    combined = feed.with_reject_reason(feed.combine(linked, feed.usable_pages(fields)))
+    usable = feed.one_per_url(feed.usable_pages(fields))
+    combined = feed.with_reject_reason(feed.combine(linked, usable))
     # Read several times below, and the page join is the most expensive step.
     checked = materialise(combined, "ingest-checked")
     valid = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")

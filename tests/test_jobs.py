@@ -53,7 +53,7 @@ def ingested(spark):
     first = page("첫 번째 기사 제목입니다", LONG, "김기자 a@b.co")
     pages = spark.createDataFrame(
         [
-            (f"{BASE}/article/1/1", first), (f"{BASE}/article/1/4", first),
+            (f"{BASE}/article/1/1", first), (f"{BASE}/article/1/1", first), (f"{BASE}/article/1/4", first),
             (f"{BASE}/article/1/2", page("페이지 제목은 있습니다", "짧은 본문")),
             (f"{BASE}/article/1/8", page("이미 저장된 기사의 제목", LONG + "끝", "박기자")),
         ],
