@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words are runs of anything but ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 512
+CACHED_WORDS = 500_000
 
 
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -47,8 +47,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+class WordHashes(dict):
+    """64-bit hash of each word; the commonest words of a task stay at hand."""
+
+    def __missing__(self, word: str | bytes) -> int:
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < CACHED_WORDS:
+            self[word] = value
+        return value
 
 
 def _fingerprint(edges: DataFrame) -> tuple:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.common import bounded_batches, components, mix64
+from presswork.llm.common import WordHashes, bounded_batches, components, mix64
 from presswork.operators.skew import broadcast_if_small
 from presswork.session import materialise
 
@@ -27,20 +27,9 @@ BANDS = 40
 BAND_ROWS = 5
 BATCH = 40
 MISS = 1e-6
-CACHED_WORDS = 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHashes(dict):
-    """64-bit hash of each word; the commonest words of a task stay at hand."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < CACHED_WORDS:
-            self[word] = value
-        return value
-
-
 def shingles(text: str | None, words: int, hashes: dict) -> np.ndarray:
     """Sorted distinct 64-bit shingle hashes of a whole text.
 
@@ -131,7 +120,7 @@ def _similar(percent: int):
 
 def _sign(docs: DataFrame, words: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, (factors, shifts) = _WordHashes(), _permutations(seed)
+        hashes, (factors, shifts) = WordHashes(), _permutations(seed)
         for batch in batches:
             size, key, bands, short = [], [], [], []
             for text in batch.column(1):
@@ -160,7 +149,7 @@ def _sign(docs: DataFrame, words: int, seed: int) -> DataFrame:
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        hashes = WordHashes()
         for batch in batches:
             sets = [shingles(text.as_py(), words, hashes).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "codes"])
