@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork.operators.skew import broadcast_if_small
 from presswork.session import materialise
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -14,6 +15,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 512
 CACHED_WORDS = 500_000
+SMALL_ROWS = 50_000
+SMALL_BYTES = 8 * 1024 * 1024
 
 
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -47,6 +50,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if its counted size is below ``SMALL_ROWS`` and ``SMALL_BYTES``."""
+    return broadcast_if_small(df, SMALL_ROWS, SMALL_BYTES)
+
+
 class WordHashes(dict):
     """64-bit hash of each word; the commonest words of a task stay at hand."""
 

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.common import ascii_lower
-from presswork.operators.skew import broadcast_if_small
+from presswork.llm.common import ascii_lower, small
 from presswork.session import materialise
 
 WINDOW = 13
@@ -77,7 +76,7 @@ def find_windows(texts: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         return windows.where(width_of == width).select("window", "n", "item_ids", shingle)
 
     tokens = materialise(_by_width(widths, of_windows), "tokens")
-    wanted = broadcast_if_small(materialise(tokens.select("shingle").distinct(), "shingles"))
+    wanted = small(materialise(tokens.select("shingle").distinct(), "shingles"))
     in_words = texts.where("text IS NOT NULL").select("key", words_of(F.col("text")).alias("words"))
 
     def of_texts(width: int) -> DataFrame:
@@ -96,10 +95,10 @@ def find_windows(texts: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     )
 
     # The window has to start inside the text, and (below) to end inside it.
-    met = hits.join(broadcast_if_small(prefix), "shingle").withColumn("start", F.col("place") - F.col("offset"))
+    met = hits.join(small(prefix), "shingle").withColumn("start", F.col("place") - F.col("offset"))
     met = met.where("start >= 0").select("key", "start", "n", "window", "item_ids").distinct()
     met = materialise(met, "met")
-    keys = broadcast_if_small(materialise(met.select("key").distinct(), "keys"))
+    keys = small(materialise(met.select("key").distinct(), "keys"))
     again = in_words.join(keys, "key", "left_semi").dropDuplicates(["key"])
     tries = met.groupBy("key").agg(F.collect_list(F.struct("start", "n", "window", "item_ids")).alias("tries"))
     words = F.col("words")
@@ -144,7 +143,7 @@ def contamination(
         covered = F.flatten(F.transform("found", lambda t: F.sequence(t["start"], t["start"] + t["n"] - 1)))
         ids = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda t: t["item_ids"]))))
         hit = found.select("key", F.size(F.array_distinct(covered)).alias("n_hit"), ids.alias("item_ids"))
-        rows = rows.join(broadcast_if_small(materialise(hit, "hit")), "key", "left")
+        rows = rows.join(small(materialise(hit, "hit")), "key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return rows.select(
@@ -162,5 +161,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, p
     key = F.unhex(F.md5("text"))
     texts = docs.select(key.alias("doc_id"), "text")
     found = contamination(texts, items, window, percent).where("contaminated").select("doc_id").distinct()
-    lost = broadcast_if_small(materialise(found.withColumnRenamed("doc_id", "_lost"), "lost"))
+    lost = small(materialise(found.withColumnRenamed("doc_id", "_lost"), "lost"))
     return docs.join(lost, key == F.col("_lost"), "left_anti")

@@ -19,14 +19,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.common import WordHashes, bounded_batches, components, mix64
-from presswork.operators.skew import broadcast_if_small
+from presswork.llm.common import WordHashes, bounded_batches, components, mix64, small
 from presswork.session import materialise
 
 BANDS = 40
 BAND_ROWS = 5
 BATCH = 40
 MISS = 1e-6
+#: Buckets of up to so many members give their pairs as rows; larger ones are compared in blocks.
+FEW = 8
+BLOCK_ROWS = 1024
+BLOCK_BYTES = 32 * 1024 * 1024
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -164,6 +167,61 @@ def _both(pairs: DataFrame, table: DataFrame, value: str, test) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(test("left", "right")).select("a", "b")
 
 
+def _block_links(members: DataFrame, heads: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links between components inside large buckets, enough of them to join what they join.
+
+    A bucket is cut into blocks of bounded rows and bytes, and each pair of blocks is one task's
+    group. Pairs of different components go through the same sequence of signature batches and
+    exact verification as elsewhere; a pair that meets in several buckets is compared in the
+    first only, and one whose components this task has joined already is left out.
+    """
+    rows = members.join(heads, "id").join(sets, "id")
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("codes")).alias("bytes"))
+    n_blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1)).cast("int")
+    sizes = materialise(sizes.select("bucket", n_blocks.alias("n_blocks")), "sizes")
+    cut = rows.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    cut = cut.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    steps = least_matches(percent / 100, miss)
+
+    def compare(key, part: pd.DataFrame) -> pd.DataFrame:
+        bucket, lo, hi = key
+        ids, comps, block = part["id"].to_numpy(), part["component"].to_numpy(), part["block"].to_numpy()
+        bands = np.stack(part["buckets"].to_numpy())
+        sigs = np.frombuffer(b"".join(part["sig"]), np.uint16).reshape(len(part), -1)
+        codes = [np.frombuffer(c, np.uint64) for c in part["codes"]]
+        band = int(np.nonzero(bands[0] == bucket)[0][0])
+        here = np.nonzero(block == hi)[0]
+        joined: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in joined:
+                c = joined[c]
+            return c
+
+        found = []
+        for i in np.nonzero(block == lo)[0]:
+            others = here[here > i] if lo == hi else here
+            others = others[comps[others] != comps[i]]
+            others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
+            matches = np.zeros(len(others), int)
+            for n, least in steps:
+                matches += (sigs[others, n - BATCH : n] == sigs[i, n - BATCH : n]).sum(axis=1)
+                others, matches = others[matches >= least], matches[matches >= least]
+            for j in others[np.argsort(-matches, kind="stable")]:
+                a, b = root(comps[i]), root(comps[j])
+                if a == b:
+                    continue
+                both = len(np.intersect1d(codes[i], codes[j], assume_unique=True))
+                if 100 * both >= percent * (len(codes[i]) + len(codes[j]) - both):
+                    joined[max(a, b)] = min(a, b)
+                    found.append((ids[i], ids[j]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    columns = ["bucket", "lo", "hi", "block", "id", "component", "buckets", "sig", "codes"]
+    return cut.select(*columns).groupBy("bucket", "lo", "hi").applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -203,7 +261,7 @@ def near_duplicates(
         alive = materialise(_both(pairs, sigs, "sig", survives), "alive")
         ids = alive.select(F.col("a").alias("doc_id")).union(alive.select("b")).distinct()
         ids = materialise(ids, "ids")
-        needed = texts.join(broadcast_if_small(ids), "doc_id", "left_semi")
+        needed = texts.join(small(ids), "doc_id", "left_semi")
         sets = materialise(_sets(needed, words), "sets")
         return _both(alive, sets, "codes", similar)
 
@@ -212,27 +270,34 @@ def near_duplicates(
     links = materialise(verified(first), "linked")
     found = materialise(components(links), "components")
 
-    # Buckets that still hold several components: the head's side against the others, and the
-    # others among themselves. Pairs with a head have been tried.
+    # Buckets that still hold several components. In a small one the pairs left are few; in a
+    # large one they are compared in blocks inside tasks, and only links leave the task.
     side = found.select(F.col("node").alias("id"), "component")
     placed = met.join(side, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_buckets = placed.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        F.max(F.when(F.col("id") == F.col("head"), F.col("component"))).alias("main"),
+    mixed = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
     )
-    open_buckets = materialise(open_buckets.where("low < high").select("bucket", "main"), "open")
-    placed = materialise(placed.join(open_buckets, "bucket").where("id <> head"), "apart")
-    others = placed.where("component <> main").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
-    same = placed.where("component = main").select("bucket", F.col("id").alias("b"))
-    rest = placed.where("component <> main").select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
-    across = others.join(same, "bucket").select("a", "b").unionByName(
-        others.join(rest, "bucket").where("ca < cb").select("a", "b")
-    )
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    mixed = materialise(mixed.where("low < high").select("bucket", "members"), "mixed")
+    placed = materialise(placed.select("bucket", "id", "component").join(mixed, "bucket"), "apart")
+
+    few = placed.where(F.col("members") <= FEW)
+    left = few.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
+    right = few.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
+    across = left.join(right, "bucket").where("a < b AND ca <> cb").select("a", "b").distinct()
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    late = materialise(verified(materialise(across.join(tried, ["a", "b"], "left_anti"), "pairs")), "linked")
-    if not late.isEmpty():
-        found = materialise(components(links.unionByName(late)), "components")
+    across = materialise(across.join(tried, ["a", "b"], "left_anti"), "pairs")
+    late = [materialise(verified(across), "linked")]
+
+    many = placed.where(F.col("members") > FEW)
+    ids = materialise(many.select(F.col("id").alias("doc_id")).distinct(), "ids")
+    if not ids.isEmpty():
+        sets = materialise(_sets(texts.join(small(ids), "doc_id", "left_semi"), words), "sets")
+        late.append(materialise(_block_links(many, heads, sets, percent, miss), "linked"))
+    for more in late:
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = None
+    found = materialise(components(links), "components") if found is None else found
 
     side = found.select(F.col("node").alias("id"), "component")
     grouped = classes.join(side, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
@@ -250,12 +315,12 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
     Rows that repeat the id of a kept document go too, except where the id is null.
     """
     lost = groups.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
-    stay = docs.join(broadcast_if_small(materialise(lost, "lost")), id_col, "left_anti")
+    stay = docs.join(small(materialise(lost, "lost")), id_col, "left_anti")
     counts = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
     repeated = materialise(counts, "repeated")
     if repeated.isEmpty():
         return stay
-    repeated = broadcast_if_small(repeated)
+    repeated = small(repeated)
     once = stay.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
     return stay.join(repeated, id_col, "left_anti").unionByName(once)
 

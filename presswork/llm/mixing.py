@@ -13,8 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presswork.llm.common import count_words
-from presswork.operators.skew import broadcast_if_small
+from presswork.llm.common import count_words, small
 from presswork.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -69,7 +68,7 @@ def _ranked(df: DataFrame, buckets: Column, order: list[str], value: Column, ali
     totals = df.groupBy("sidx", "_bucket").agg(F.sum("_value").alias("_sum"))
     over = Window.partitionBy("sidx").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("sidx", "_bucket", F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_start"))
-    starts = broadcast_if_small(materialise(starts, "starts"))
+    starts = small(materialise(starts, "starts"))
     inside = Window.partitionBy("sidx", "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     run = df.withColumn("_run", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
     run = run.join(starts, ["sidx", "_bucket"])
@@ -113,7 +112,7 @@ def mix(
     slots = F.round(F.col("target") * F.col("n_blocks") / F.col("source_size")).cast("long")
     slots = F.when(F.col("source_size") > 0, F.least(slots, F.col("n_blocks") * cap)).otherwise(0)
     sources = materialise(sources.withColumn("n_slots", slots.cast("long")), "sources")
-    few = broadcast_if_small(sources)
+    few = small(sources)
 
     same_source = rows["source"].eqNullSafe(few["source"])
     named = rows.join(few, same_source).select("doc_id", rows["source"], "size", "sidx", "source_size", "target")
@@ -164,6 +163,6 @@ def mixed_documents(docs: DataFrame, seed: int = 23, **options) -> DataFrame:
     copies = F.floor(F.col("taken") / F.col("size") + draw).cast("int")
     copies = taken.groupBy("doc_id").agg(F.max(copies).alias("_copies"))
     copies = materialise(copies.where("_copies <> 1"), "copies")
-    out = docs.join(broadcast_if_small(copies), "doc_id", "left")
+    out = docs.join(small(copies), "doc_id", "left")
     times = F.explode(F.array_repeat(F.lit(0), F.coalesce("_copies", F.lit(1))))
     return out.withColumn("_copy", times).select(*[docs[name] for name in docs.columns])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from presswork.operators.skew import broadcast_if_small
+from presswork.llm.common import small
 from presswork.session import materialise, new_path
 
 SHARDS = 24
@@ -83,7 +83,7 @@ def shuffled(
     if any(kind.startswith("map") or "map<" in kind for _, kind in docs.select("doc.*").dtypes):
         by_hash = lambda a, b: F.when(a["hash"] < b["hash"], -1).when(a["hash"] > b["hash"], 1).otherwise(0)
         rows = F.array_sort(F.collect_list(F.struct("hash", "doc")), by_hash)
-    buckets = dealt.groupBy("bucket").agg(rows.alias("rows")).join(broadcast_if_small(starts), "bucket")
+    buckets = dealt.groupBy("bucket").agg(rows.alias("rows")).join(small(starts), "bucket")
     order = fisher_yates(F.col("n"), F.lit(seed), F.col("bucket"))
     placed = buckets.select("before", "rows", F.posexplode(order).alias("place", "at"))
     position = F.col("before") + F.col("place")

@@ -8,8 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.common import bounded_batches, held_out
-from presswork.operators.skew import broadcast_if_small
+from presswork.llm.common import bounded_batches, held_out, small
 
 _DRAWS = 1 << 30
 
@@ -26,10 +25,10 @@ def training_rows(
     known = known.withColumn("draw", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(_DRAWS)))
     counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     share = counts.select("label", (F.lit(float(rows_per_label) * _DRAWS) / F.col("n")).alias("most"))
-    picked = known.join(broadcast_if_small(share, max_rows=10_000), "label").where("draw < most")
+    picked = known.join(small(share), "label").where("draw < most")
     picked = picked.select("id", "label", "draw")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return texts.where("text IS NOT NULL").join(broadcast_if_small(picked), "id").select("draw", "text", "label")
+    return texts.where("text IS NOT NULL").join(small(picked), "id").select("draw", "text", "label")
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[Iterator[pd.DataFrame]], bytes]) -> bytes:

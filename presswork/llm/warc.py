@@ -22,8 +22,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.common import bounded_batches
-from presswork.operators.skew import broadcast_if_small, global_rank
+from presswork.llm.common import bounded_batches, small
+from presswork.operators.skew import global_rank
 from presswork.session import materialise, new_path
 
 SHARD_ROWS = 1024
@@ -186,7 +186,7 @@ def write_archive(
         return pd.Series([max(0, bisect_right(bounds, _key(i, s)) - 1) for i, s in zip(ids, sha1)], dtype="int32")
 
     revisit = F.col("chosen").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("chosen"))
-    typed = rows.join(broadcast_if_small(shared), "sha1", "left").select(
+    typed = rows.join(small(shared), "sha1", "left").select(
         shard_of("page_id", "sha1").alias("shard"),
         F.col("page_id").cast("string").alias("id_text"),
         "page_id", "url", "sha1",
