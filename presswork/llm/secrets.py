@@ -30,8 +30,8 @@ TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 _SAMPLE_TOKEN = r"[A-Za-z0-9+/_=-]{4,}"
 #: Bound of the training sample: about so many rows.
 SAMPLE_ROWS = 4_000
-#: Log of the odds a token needs: one token in a few millions is taken for a secret at random.
-LOG_ODDS = 15.0
+#: Log of the odds a token needs, for about one secret in a hundred thousand tokens.
+LOG_ODDS = 12.0
 _DRAWS = 1 << 30
 
 

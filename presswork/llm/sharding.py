@@ -73,7 +73,7 @@ def shuffled(
     )
     if not crowded.isEmpty():
         marked = hashed.join(crowded.withColumn("_many", F.lit(True)), "hash", "left")
-        number = F.when("_many", F.monotonically_increasing_id())
+        number = F.when(F.col("_many"), F.monotonically_increasing_id())
         hashed = materialise(marked.withColumn("hash", F.xxhash64("hash", number)).drop("_many"), "told_apart")
     dealt = hashed.withColumn("bucket", F.pmod(F.xxhash64("hash"), F.lit(n_buckets)))
     counts = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))

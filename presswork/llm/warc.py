@@ -301,7 +301,8 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = True) -> DataF
         "id_text string, url string, record_type string, refers_text string, payload_bytes long, "
         "payload_digest string, payload binary"
     )
-    rows = manifest.repartition("file").mapInPandas(read, schema)
+    # A task per file: the manifest is small, what it lists is not.
+    rows = manifest.repartition(max(1, manifest.count())).mapInPandas(read, schema)
     return rows.select(
         F.col("id_text").cast("long").alias("page_id"), "url", "record_type",
         F.col("refers_text").cast("long").alias("refers_to"), "payload_bytes", "payload_digest", "payload",
