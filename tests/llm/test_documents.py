@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -220,7 +221,9 @@ def test_base_spans_equal_brute_force(spark):
 
 
 def test_markov_models_tell_random_strings_from_identifiers(spark):
-    words = "account balance current_user_name request handler database connection manager string builder factory " * 20
+    rng, parts = random.Random(8), "ac count bal an ce re quest hand ler data base con nec tion man ager str ing build er fac to ry".split()
+    plain = ["".join(rng.choice(parts) for _ in range(rng.randrange(2, 5))) for _ in range(1500)]
+    words = " ".join([*plain, "_".join(plain[:3]), "current_user account_balance requestHandler connectionManager"])
     keys = ["kJ8xQz2LpW9vT4nRb7Yc", "Zx81bQ0pLmWvNc73hTyRe5Kd", "q7Rt9ZpX2mKw4Vb8Ln3Hs"]
     names = ["requestHandlerConnectionManager", "current_user_account_balance", "databaseconnectionstringbuilder"]
     rows = [(i, words) for i in range(20)] + [(100 + i, f"call {k} now") for i, k in enumerate(keys)]
