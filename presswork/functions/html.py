@@ -85,12 +85,14 @@ def decode_entities(text: Column) -> Column:
     The closing semicolon may be missing; unknown references stay as they are.
     """
     names = F.str_to_map(F.lit(_ENTITIES), F.lit("\u0002"), F.lit("\u0001"))
-    reference = "^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);?"
+    reference = "^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);?"
 
     def number(ref: Column) -> Column:
+        digits = F.regexp_replace(ref, "^#[xX]?0*", "")
         return (
-            F.when(ref.startswith("#x") | ref.startswith("#X"), F.conv(F.substring(ref, 3, 6), 16, 10))
-            .when(ref.startswith("#"), F.substring(ref, 2, 7))
+            F.when(~ref.startswith("#") | ~F.length(digits).between(1, 7), None)
+            .when(ref.startswith("#x") | ref.startswith("#X"), F.conv(digits, 16, 10))
+            .otherwise(digits)
             .cast("int")
         )
 
@@ -238,9 +240,12 @@ def extract_publisher(
 
 
 def extract_content(
-    html: Column, rules: Sequence[Rule] = CONTENT_RULES, tags: Column | None = None
+    html: Column,
+    rules: Sequence[Rule] = CONTENT_RULES,
+    tags: Column | None = None,
+    limit: int | None = S.MAX_CONTENT_LENGTH,
 ) -> Column:
-    return clean_content(first_text(html, rules, tags))
+    return clean_content(first_text(html, rules, tags), limit)
 
 
 def reporter_cards(

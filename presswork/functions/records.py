@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from presswork import settings as S
+from presswork.functions.dates import local_time
 from presswork.functions.text import render_prompt
 
 CONTENT_FIELDS = ["title", "content", "journalist_name", "publisher"]
@@ -35,20 +36,31 @@ def journalist_key(name: Column, publisher: Column) -> Column:
 
 
 def article_record() -> Column:
-    """JSON record of an article; null fields, the score among them, are left out."""
-    return F.to_json(
+    """JSON record of an article; only score and explanation are left out where they are null.
+
+    The publication time is the local wall clock with its offset; a fraction of a second is
+    shown in microseconds, and only if there is one.
+    """
+    local = local_time(F.col("published_at"))
+    second = F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss")
+    fraction = F.date_format(local, ".SSSSSS")
+    offset = f"+{S.LOCAL_OFFSET_HOURS:02d}:00"
+    stamp = F.concat(second, F.when(fraction == ".000000", "").otherwise(fraction), F.lit(offset))
+    fixed = F.to_json(
         F.struct(
             "title",
             "content",
             "journalist_id",
             "journalist_name",
             "publisher",
-            F.date_format(F.col("published_at"), "yyyy-MM-dd'T'HH:mm:ss").alias("published_at"),
+            stamp.alias("published_at"),
             "naver_url",
-            "clickbait_score",
-            "clickbait_explanation",
-        )
+        ),
+        {"ignoreNullFields": "false"},
     )
+    sparse = F.to_json(F.struct("clickbait_score", "clickbait_explanation"))
+    both = F.concat(F.substring(fixed, 1, F.length(fixed) - 1), F.lit(","), F.substring(sparse, 2, F.length(sparse)))
+    return F.when(sparse == "{}", fixed).otherwise(both)
 
 
 def scoring_request(
@@ -58,6 +70,7 @@ def scoring_request(
     template: str = S.PROMPT_TEMPLATE,
     system_message: str = S.SYSTEM_MESSAGE,
     model: str = S.REQUEST_MODEL,
+    limit: int | None = S.MAX_CONTENT_LENGTH,
 ) -> Column:
     """Nested scoring request of one article, ready for ``to_json``."""
 
@@ -90,7 +103,7 @@ def scoring_request(
         F.lit(model).alias("model"),
         F.array(
             message("system", F.lit(system_message)),
-            message("user", render_prompt(title, content, template)),
+            message("user", render_prompt(title, content, template, limit)),
         ).alias("messages"),
         response_format.alias("response_format"),
     )

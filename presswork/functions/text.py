@@ -64,9 +64,13 @@ def normalize_name(
     return F.when(unusable, F.concat(F.lit(prefix), publisher)).otherwise(clean)
 
 
-def clean_content(text: Column, limit: int = S.MAX_CONTENT_LENGTH) -> Column:
-    """Collapse blank lines, trim, keep the first ``limit`` characters (a rule of the data model)."""
-    return F.substring(strip(F.regexp_replace(text, "\n{2,}", "\n")), 1, limit)
+def clean_content(text: Column, limit: int | None = S.MAX_CONTENT_LENGTH) -> Column:
+    """Collapse blank lines, trim, keep the first ``limit`` characters (a rule of the data model).
+
+    Without a limit the whole text is kept.
+    """
+    clean = strip(F.regexp_replace(text, "\n{2,}", "\n"))
+    return clean if limit is None else F.substring(clean, 1, limit)
 
 
 def drop_tags(text: Column) -> Column:
@@ -91,15 +95,18 @@ def render_prompt(
     title: Column,
     content: Column,
     template: str = S.PROMPT_TEMPLATE,
-    limit: int = S.MAX_CONTENT_LENGTH,
+    limit: int | None = S.MAX_CONTENT_LENGTH,
 ) -> Column:
-    """Fill ``{title}`` and ``{content}``; a longer body is cut at ``limit`` and marked ``...``."""
+    """Fill ``{title}`` and ``{content}``; a longer body is cut at ``limit`` and marked ``...``.
+
+    Without a limit nothing is cut.
+    """
     title = strip(F.coalesce(title, F.lit("")))
     content = strip(F.coalesce(content, F.lit("")))
-    shown = F.concat(
-        F.substring(content, 1, limit),
-        F.when(F.length(content) > limit, F.lit("...")).otherwise(F.lit("")),
-    )
+    shown = content
+    if limit is not None:
+        cut = F.when(F.length(content) > limit, F.lit("...")).otherwise(F.lit(""))
+        shown = F.concat(F.substring(content, 1, limit), cut)
     fields = {"{title}": title, "{content}": shown}
     pieces = [p for p in re.split(r"(\{title\}|\{content\})", template) if p]
     return F.concat(*[fields[p] if p in fields else F.lit(p) for p in pieces])

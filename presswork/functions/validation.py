@@ -50,13 +50,21 @@ def padded_content(content: Column, description: Column, minimum: int = S.MIN_CO
 
 
 def parse_json_strict(text: Column) -> Column:
-    """VARIANT of a complete JSON text; null for anything else, trailing text included."""
+    """VARIANT of a complete JSON text; null for anything else, trailing text included.
+
+    The parser ignores what follows a value, so the text is put into an array and followed by a
+    number made from it: only if exactly that number comes second did the text end as it should.
+    Repeated keys are refused.
+    """
+    mark = F.pmod(F.xxhash64(text), F.lit(1 << 40))
 
     def only_element(wrapped: Column) -> Column:
-        second = F.try_variant_get(wrapped, "$[1]", "variant")
-        return F.when(second.isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
+        ended = F.try_variant_get(wrapped, "$[1]", "bigint") == mark
+        more = F.try_variant_get(wrapped, "$[2]", "variant")
+        return F.when(ended & more.isNull(), F.try_variant_get(wrapped, "$[0]", "variant"))
 
-    return let(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), only_element)
+    closed = F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]"))
+    return let(F.try_parse_json(closed), only_element)
 
 
 def validate_payload(text: Column) -> Column:
@@ -82,14 +90,19 @@ def validate_payload(text: Column) -> Column:
     return let(let(parse_json_strict(text), checked), in_range)
 
 
-def cleansed_update(score: Column, explanation: Column) -> Column:
-    """Struct(score, explanation) with a half-even integer score; null when the score is unusable."""
+def cleansed_update(
+    score: Column, explanation: Column, limit: int | None = S.EXPLANATION_LIMIT
+) -> Column:
+    """Struct(score, explanation) with a half-even integer score; null when the score is unusable.
+
+    The explanation is cut at ``limit`` characters; None keeps all.
+    """
     text = strip(F.coalesce(explanation, F.lit("")))
     text = F.when(text == "", F.lit(S.DEFAULT_EXPLANATION)).otherwise(text)
     return F.when(
         score.between(S.MIN_SCORE, S.MAX_SCORE),
         F.struct(
             F.bround(score, 0).cast("int").alias("score"),
-            F.substring(text, 1, S.EXPLANATION_LIMIT).alias("explanation"),
+            (text if limit is None else F.substring(text, 1, limit)).alias("explanation"),
         ),
     )

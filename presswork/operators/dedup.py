@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.functions.records import content_key
+from presswork.functions.records import content_key, digest
 from presswork.functions.text import normalize_url
 from presswork.operators import skew
 from presswork.session import materialise
@@ -39,12 +39,13 @@ def _ranked(articles: DataFrame) -> DataFrame:
 
 
 def _group_summary(ranked: DataFrame) -> DataFrame:
-    """Size and survivor per group: highest score, then oldest, then lowest id.
+    """Size and survivor per group: highest score, then oldest (no time is last), then lowest id.
 
     A minimum over a struct is combined on the map side, so a group that holds a third of
     the table still sends one row per task.
     """
-    best = F.min(F.struct((-F.col("score")).alias("order"), "created_at", "id"))
+    undated = F.col("created_at").isNull().alias("undated")
+    best = F.min(F.struct((-F.col("score")).alias("order"), undated, "created_at", "id"))
     return (
         ranked.groupBy("content_key")
         .agg(F.count(F.lit(1)).alias("duplicate_count"), best.alias("best"))
@@ -87,10 +88,12 @@ def group_members(
         counts=groups,
         hot_rows=hot_rows,
     )
-    ordered = members.withColumn("_order", -F.col("score"))
+    ordered = members.withColumn("_order", -F.col("score")).withColumn(
+        "_undated", F.col("created_at").isNull()
+    )
     return skew.rank_in_group(
-        ordered, ["content_key"], ["_order", "created_at", "id"], partitions
-    ).drop("_order")
+        ordered, ["content_key"], ["_order", "_undated", "created_at", "id"], partitions
+    ).drop("_order", "_undated")
 
 
 def losers(articles: DataFrame) -> DataFrame:
@@ -99,13 +102,22 @@ def losers(articles: DataFrame) -> DataFrame:
     The texts are read and digested once; the rest works on the narrow copy.
     """
     ranked = materialise(_ranked(articles), "ranked")
-    kept = _group_summary(ranked).select(F.col("kept_id").alias("id"))
-    return ranked.select("id", "content_key").join(kept, "id", "left_anti")
+    groups = materialise(_group_summary(ranked).where("duplicate_count > 1"), "groups")
+    members = skew.salted_join(
+        ranked.select("id", "content_key"),
+        groups.select("content_key", "kept_id"),
+        ["content_key"],
+        "inner",
+        spread=["id"],
+        counts=groups.select("content_key", F.col("duplicate_count").alias("n_rows")),
+    )
+    return members.where("id <> kept_id").select("id", "content_key")
 
 
 def survivors(articles: DataFrame) -> DataFrame:
-    """The article table without the losers; the wide rows are only anti-joined by id."""
-    return articles.join(losers(articles).select("id"), "id", "left_anti")
+    """The article table without the losers; the wide rows stay put while these are few."""
+    lost = materialise(losers(articles).select("id"), "losers")
+    return articles.join(skew.broadcast_if_small(lost), "id", "left_anti")
 
 
 def merge_totals(articles: DataFrame) -> DataFrame:
@@ -152,22 +164,27 @@ def feed_dedup(
     a series of rounds: keep the rows that come first in both their URL group and their
     content group, remove whatever shares either with them, repeat on the rest.
     """
+    # Scope and key in one digest, so that a null scope is a scope like others; a row without
+    # URL shares it with nobody.
+    where = [F.col(name).cast("string") for name in scope]
+    own = F.concat(F.lit("pos"), F.col(position).cast("string"))
     keys = feed.select(
-        *scope, F.col(position).alias("pos"), F.col(url).alias("url"), content_key().alias("digest")
+        F.col(position).alias("pos"),
+        F.when(F.col(url).isNull(), own).otherwise(digest(*where, F.col(url))).alias("url"),
+        digest(*where, content_key()).alias("digest"),
     )
     # A later copy of both URL and content never survives and never blocks another row.
-    rest = keys.groupBy(*scope, "url", "digest").agg(F.min("pos").alias("pos"))
+    rest = keys.groupBy("url", "digest").agg(F.min("pos").alias("pos"))
+    every = keys.select("pos")
     kept: DataFrame | None = None
     while True:
         rest = materialise(rest, "feed-rest")
         if rest.isEmpty():
             break
-        by_url = _first_in_group(rest, [*scope, "url"], "n_url")
-        by_digest = _first_in_group(rest, [*scope, "digest"], "n_digest")
+        by_url = _first_in_group(rest, ["url"], "n_url")
+        by_digest = _first_in_group(rest, ["digest"], "n_digest")
         firsts = materialise(
-            by_url.join(by_digest.drop(*scope), "pos").select(
-                *scope, "pos", "url", "digest", "n_url", "n_digest"
-            ),
+            by_url.join(by_digest, "pos").select("pos", "url", "digest", "n_url", "n_digest"),
             "feed-kept",
         )
         kept = firsts.select("pos") if kept is None else kept.unionByName(firsts.select("pos"))
@@ -176,16 +193,19 @@ def feed_dedup(
             taken = firsts.where(F.col(size) > 1)
             rest = skew.salted_join(
                 rest,
-                taken.select(*scope, column),
-                [*scope, column],
+                taken.select(column),
+                [column],
                 "left_anti",
                 spread=["pos"],
-                counts=taken.select(*scope, column, F.col(size).alias("n_rows")),
+                counts=taken.select(column, F.col(size).alias("n_rows")),
                 hot_rows=hot_rows,
             )
     if kept is None:
         return feed.limit(0)
-    return feed.join(kept.withColumnRenamed("pos", position), position, "left_semi")
+    dropped = materialise(every.join(kept, "pos", "left_anti"), "feed-dropped")
+    return feed.join(
+        skew.broadcast_if_small(dropped.withColumnRenamed("pos", position)), position, "left_anti"
+    )
 
 
 def _first_in_group(rows: DataFrame, keys: Sequence[str], size: str) -> DataFrame:

@@ -26,10 +26,12 @@ def extract_pages(
     title_rules: Sequence[html.Rule] = html.TITLE_RULES,
     publisher_rules: Sequence[html.Rule] = html.PUBLISHER_RULES,
     content_rules: Sequence[html.Rule] = html.CONTENT_RULES,
+    limit: int | None = S.MAX_CONTENT_LENGTH,
 ) -> DataFrame:
     """Title, publisher, reporter and body of each page (columns ``url``, ``html``).
 
-    The page is searched once for the start tags of all fields. No shuffle, one pass.
+    The page is searched once for the start tags of all fields. No shuffle, one pass. The body
+    is cut at ``limit`` characters; None keeps all of it.
     """
     rest = [c for c in pages.columns if c != "html"]
     rules = [*title_rules, *publisher_rules, *content_rules, html.BYLINE_RULE, html.CARD_RULE]
@@ -42,7 +44,7 @@ def extract_pages(
             html.extract_title(page, title_rules, tags).alias("page_title"),
             html.extract_publisher(page, publisher_rules, tags).alias("page_publisher"),
             html.extract_reporter(page, tags).alias("page_reporter"),
-            html.extract_content(page, content_rules, tags).alias("page_content"),
+            html.extract_content(page, content_rules, tags, limit).alias("page_content"),
         ),
     )
 

@@ -41,7 +41,7 @@ def number_batches(
     return ranked.select("id", "rank", batch_no.alias("batch_no"))
 
 
-def build_requests(articles: DataFrame, **options: str) -> DataFrame:
+def build_requests(articles: DataFrame, **options: str | int | None) -> DataFrame:
     """Add the nested ``request`` of each article; ``to_json`` gives its line."""
     request = scoring_request(F.col("id"), F.col("title"), F.col("content"), **options)
     return articles.withColumn("request", request)
@@ -145,10 +145,10 @@ def one_update_per_article(
     return first.select("article_id", "update.score", "update.explanation")
 
 
-def cleanse_updates(updates: DataFrame) -> DataFrame:
+def cleanse_updates(updates: DataFrame, limit: int | None = S.EXPLANATION_LIMIT) -> DataFrame:
     """Drop updates without id or with an unusable score; clean the others."""
     clean = updates.withColumn(
-        "_clean", cleansed_update(F.col("score"), F.col("explanation"))
+        "_clean", cleansed_update(F.col("score"), F.col("explanation"), limit)
     ).where(F.col("_clean").isNotNull())
     has_id = F.coalesce(F.col("article_id").cast("string"), F.lit("")) != ""
     return clean.where(has_id).select(

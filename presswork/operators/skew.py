@@ -138,6 +138,16 @@ def _sorted_runs(df: DataFrame, columns: Sequence[str], partitions: int | None)
     return materialise(runs, "runs")
 
 
+def _join_runs(rows: DataFrame, per_run: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on run and keys, null keys included."""
+    names = {key: f"_key{i}" for i, key in enumerate(keys)}
+    right = per_run.withColumnsRenamed({**names, "_run": "_of_run"})
+    same = F.col("_run") == F.col("_of_run")
+    for key, name in names.items():
+        same = same & F.col(key).eqNullSafe(F.col(name))
+    return rows.join(right, same).drop("_of_run", *names.values())
+
+
 def global_rank(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Add ``rank`` (1, 2, ...) over the whole table; ``order`` must be unique.
 
@@ -155,14 +165,14 @@ def global_rank(df: DataFrame, order: Sequence[str], partitions: int | None = No
 def rank_in_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None
 ) -> DataFrame:
-    """Add ``rank`` within ``keys``; ``keys`` + ``order`` must be unique and keys not null."""
+    """Add ``rank`` within ``keys``; ``keys`` + ``order`` must be unique. Null is a key of its own."""
     runs = _sorted_runs(df, [*keys, *order], partitions)
     sizes = runs.groupBy("_run", *keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("_idx").alias("_first")
     )
     before = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    return runs.join(offsets, ["_run", *keys]).select(
+    return _join_runs(runs, offsets, keys).select(
         *df.columns, (F.col("_before") + F.col("_idx") - F.col("_first") + 1).alias("rank")
     )
 
@@ -185,4 +195,4 @@ def lag_in_group(
     inside = Window.partitionBy("_run", *keys).orderBy("_idx")
     local = runs.withColumn("_local", F.lag(value).over(inside))
     previous = F.when(F.col("_idx") == F.col("_first"), F.col("_carried")).otherwise(F.col("_local"))
-    return local.join(borders, ["_run", *keys]).select(*df.columns, previous.alias(alias))
+    return _join_runs(local, borders, keys).select(*df.columns, previous.alias(alias))

@@ -123,10 +123,12 @@ def audit(journalists: DataFrame, articles: DataFrame, mode: str = "full_mean")
         F.coalesce("actual_max", F.lit(0)).alias("actual_max"),
         "top_avg",
     )
+    # A value that was never stored counts as zero.
+    stored_avg = F.coalesce("avg_clickbait_score", F.lit(0.0))
     differs = (
-        (F.col("article_count") != F.col("actual_count"))
-        | (F.abs(F.col("avg_clickbait_score") - F.col("actual_avg")) > S.STORED_AVG_TOLERANCE)
-        | (F.col("max_score") != F.col("actual_max"))
+        (F.coalesce("article_count", F.lit(0)) != F.col("actual_count"))
+        | (F.abs(stored_avg - F.col("actual_avg")) > S.STORED_AVG_TOLERANCE)
+        | (F.coalesce("max_score", F.lit(0)) != F.col("actual_max"))
     )
     return joined.withColumn("inconsistent", differs)
 

@@ -1139,9 +1139,9 @@ def update_cleanse(spark, sf):
 
 
 @query(
-    f"""WITH {B.FEED} SELECT id, 6 + (CASE WHEN clickbait_score IS NULL THEN 0 ELSE 2 END) AS n_fields,
+    f"""WITH {B.FEED} SELECT id, 7 + (CASE WHEN clickbait_score IS NULL THEN 0 ELSE 2 END) AS n_fields,
     title, content, CAST(clickbait_score AS VARCHAR) AS score,
-    strftime(local_at - INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S') AS published_at FROM feed"""
+    strftime(local_at, '%Y-%m-%dT%H:%M:%S') || '+09:00' AS published_at FROM feed"""
 )
 def record_json(spark, sf):
     rows = B.feed(spark, sf).withColumn("journalist_id", F.lit(None).cast("string"))

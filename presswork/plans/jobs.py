@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from presswork import schemas
 from presswork import settings as S
 from presswork.operators import dedup, feed, journalists, scoring, skew, stats
 from presswork.session import materialise, new_path
@@ -32,14 +34,16 @@ def ingest(
     day: date | None = None,
     scope: tuple[str, ...] = ("keyword",),
     extracted: bool = False,
+    limit: int | None = S.MAX_CONTENT_LENGTH,
 ) -> IngestResult:
     """Search items and fetched pages to new articles and journalists.
 
     ``items`` has the search-item columns, ``keyword`` and a ``position`` that is unique and
-    follows feed order. ``pages`` has ``naver_url`` and ``html``, or the extracted fields.
+    follows feed order. ``pages`` has ``naver_url`` and ``html``, or the extracted fields. Bodies
+    are cut at ``limit`` characters; None keeps all of them.
     """
     linked = feed.news_links(items)
-    fields = pages if extracted else feed.extract_pages(pages)
+    fields = pages if extracted else feed.extract_pages(pages, limit=limit)
     usable = feed.one_per_url(feed.usable_pages(fields))
     combined = feed.with_reject_reason(feed.combine(linked, usable))
     # Read several times below, and the page join is the most expensive step.
@@ -70,24 +74,35 @@ def ingest(
     )
 
 
-def save_ingest(result: IngestResult, articles_path: str, journalists_path: str) -> None:
-    """Append journalists, then articles.
+def save_ingest(
+    result: IngestResult, articles_path: str, journalists_path: str, asof: Column | None = None
+) -> None:
+    """Append journalists, then articles, with every column of their tables.
+
+    ``asof`` (now, if not given) is their ``created_at`` and ``updated_at``; scores are null.
 
     After a failure run the ingest again on the tables as they are: what was already written
     is found stored and not added twice.
     """
-    people = materialise(result.new_journalists, "new-journalists")
-    texts = materialise(result.new_articles, "new-articles")
+    times = {name: F.current_timestamp() if asof is None else asof for name in ("created_at", "updated_at")}
+    people = tables.conform(result.new_journalists.withColumns(times), schemas.JOURNALIST)
+    texts = tables.conform(result.new_articles.withColumns(times), schemas.ARTICLE)
+    people, texts = materialise(people, "new-journalists"), materialise(texts, "new-articles")
     people.write.mode("append").parquet(journalists_path)
     tables.append_articles(texts, articles_path)
 
 
 def build_requests(
-    articles: DataFrame, path: str, size: int = S.MAX_BATCH_SIZE, all_batches: bool = False
+    articles: DataFrame,
+    path: str,
+    size: int = S.MAX_BATCH_SIZE,
+    all_batches: bool = False,
+    limit: int | None = S.MAX_CONTENT_LENGTH,
 ) -> DataFrame:
     """Write request files for the oldest pending articles, or for all of them in batches.
 
-    Returns id and batch number of the written requests.
+    Returns id and batch number of the written requests. Prompts cut bodies at ``limit``
+    characters; None keeps them whole.
     """
     if all_batches:
         numbers = materialise(scoring.number_batches(articles, size), "batch-numbers")
@@ -100,7 +115,7 @@ def build_requests(
         )
         # At most one batch of ids.
         chosen = articles.join(F.broadcast(numbers), "id")
-    jsonl.write_requests(scoring.build_requests(chosen), path)
+    jsonl.write_requests(scoring.build_requests(chosen, limit=limit), path)
     return numbers.select("id", "batch_no")
 
 
@@ -139,7 +154,8 @@ def save_scores(articles_path: str, updates: DataFrame, asof: Column) -> None:
     touched = [row.local_date for row in days.select("local_date").distinct().collect()]
     if not touched:
         return
-    part = articles.where(F.col("local_date").isin(touched))
+    held = F.col("local_date").isin([day for day in touched if day is not None])
+    part = articles.where(held | F.col("local_date").isNull() if None in touched else held)
     staged = materialise(
         scoring.apply_scores(part, skew.broadcast_if_small(fresh), asof), "scored-days"
     )
@@ -192,8 +208,12 @@ def merge_duplicates(articles: DataFrame, dry_run: bool = False) -> MergeResult:
     )
 
 
-def write_new_version(df: DataFrame, name: str) -> str:
-    """Write a table version to a fresh path and return the path for the reader to switch to."""
-    path = new_path(df.sparkSession, name)
+def write_new_version(df: DataFrame, name: str, folder: str | None = None) -> str:
+    """Write a table version to a fresh path and return the path for the reader to switch to.
+
+    ``folder`` is where the table's versions live. Without it the version goes to the working
+    folder, whose contents may expire: enough for a test, not for a table that is to stay.
+    """
+    path = new_path(df.sparkSession, name) if folder is None else f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return path

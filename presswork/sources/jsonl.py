@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from presswork import schemas
 from presswork.functions.once import computed_once
+from presswork.functions.text import strip
 from presswork.functions.validation import parse_json_strict
 
 
@@ -46,7 +47,7 @@ def parse_result_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     filtering; well-formed JSON that is not a result object parses to nulls.
     """
     body = F.col(column)
-    kept = lines.where(F.trim(body) != "")
+    kept = lines.where(strip(body) != "")
     malformed = parse_json_strict(body).isNull()
     return kept.select(
         *[c for c in lines.columns if c != column],

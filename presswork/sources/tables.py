@@ -19,6 +19,16 @@ def with_local_date(articles: DataFrame) -> DataFrame:
     return articles.withColumn("local_date", local_date(F.col("published_at")))
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` in its order and types; what ``df`` lacks is null."""
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
 def _by_day(articles: DataFrame) -> DataFrame:
     """One writer per day, several for a day that is large: AQE splits and merges by size."""
     return articles.hint("rebalance", F.col("local_date"))

@@ -25,13 +25,14 @@ if __name__ == "__main__":
     queries, oracle = entry_points.queries(), entry_points.oracle_sql()
     bad = 0
     for name in names or queries:
-        start = time.time()
+        start, rows = time.time(), ""
         try:
             df = queries[name](spark, sf_dir)
-            problem = compare(df, con, oracle[name]) if name in oracle else f"rows only: {df.count()}"
+            problem = compare(df, con, oracle[name]) if name in oracle else None
+            rows = "" if name in oracle else f"rows only: {df.count()}"
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:700]}"
         bad += problem is not None
-        print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+        print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {problem or rows}", flush=True)
     print(f"{bad} problems")
     sys.exit(bool(bad))

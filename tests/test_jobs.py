@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from presswork import schemas
 from presswork.functions.records import journalist_key
 from presswork.operators import feed, journalists
 from presswork.plans import jobs
@@ -87,6 +88,38 @@ def test_saved_articles_are_laid_out_by_local_day(spark, ingested, tmp_path):
     assert tables.read_table(spark, people).count() == 1
 
 
+def test_ingested_articles_feed_the_other_jobs(spark, ingested, tmp_path):
+    articles, people = str(tmp_path / "articles"), str(tmp_path / "people")
+    jobs.save_ingest(ingested, articles, people, asof=F.to_timestamp(F.lit("2024-01-16 00:00:00")))
+    table = tables.read_table(spark, articles, schemas.ARTICLE)
+    assert table.columns == [*schemas.ARTICLE.names, "local_date"] and {str(r.created_at) for r in table.collect()} == {"2024-01-16 00:00:00"}
+    assert tables.read_table(spark, people, schemas.JOURNALIST).where("created_at is null").count() == 0
+    stored = tables.read_table(spark, articles)
+    assert jobs.build_requests(stored, str(tmp_path / "requests")).count() == 2
+    assert jobs.merge_duplicates(stored).survivors.count() == 2
+    jobs.save_scores(
+        articles,
+        stored.limit(1).select(F.col("id").alias("article_id"), F.lit(40).alias("score"), F.lit("why").alias("explanation")),
+        F.to_timestamp(F.lit("2024-01-17 00:00:00")),
+    )
+    scored = tables.read_table(spark, articles)
+    assert scored.where("clickbait_score = 40").count() == 1 and scored.count() == 2
+    synced = jobs.sync_statistics(tables.read_table(spark, people, schemas.JOURNALIST), scored)
+    assert synced.journalists.count() == 1
+    version = jobs.write_new_version(jobs.merge_duplicates(scored).survivors, "articles", str(tmp_path / "versions"))
+    assert version.startswith(str(tmp_path / "versions")) and tables.read_table(spark, version).count() == 2
+
+
+def test_scores_of_articles_without_a_day_are_saved(spark, tmp_path):
+    path = str(tmp_path / "articles")
+    rows = [("a", None), ("b", datetime.datetime(2024, 1, 15, 1))]
+    df = spark.createDataFrame(rows, "id string, published_at timestamp")
+    tables.append_articles(tables.conform(df, schemas.ARTICLE), path)
+    updates = spark.createDataFrame([("a", 7, "e"), ("b", 8, "e")], "article_id string, score int, explanation string")
+    jobs.save_scores(path, updates, F.current_timestamp())
+    assert {r.id: r.clickbait_score for r in tables.read_table(spark, path).collect()} == {"a": 7, "b": 8}
+
+
 def test_day_slices(spark):
     rows = [("2024-01-14 14:59:59",), ("2024-01-14 15:00:00",), ("2024-01-15 14:59:59",), ("2024-01-15 15:00:00",)]
     df = spark.createDataFrame(rows, "t string").select(F.to_timestamp("t").alias("published_at"))

@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from presswork.plans import catalog
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -11,7 +12,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     assert compare(entry_points.queries()[name](spark, SF_DIR), con, entry_points.oracle_sql()[name]) is None
 
