@@ -78,4 +78,4 @@ def test_record_leaves_out_missing_scores(spark):
     )
     record = json.loads(spark.createDataFrame(rows, schema).select(article_record()).first()[0])
     assert record["clickbait_score"] == 75 and "clickbait_explanation" not in record
-    assert record["published_at"] == "2024-01-15T01:30:00"
+    assert record["published_at"] == "2024-01-15T10:30:00+09:00"
