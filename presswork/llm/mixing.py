@@ -131,7 +131,8 @@ def mix(
         (F.col("slot") % F.col("n_blocks")).alias("index"),
         F.pmod(F.xxhash64(F.lit(seed + 1), "sidx", "slot"), F.lit(shards)).cast("int").alias("shard"),
     )
-    slots = materialise(drawn.join(permuted, ["sidx", "index"]).select("shard", "sidx", "slot", "block"), "slots")
+    # The planner sees the few sources that the numbers grow from and would broadcast all blocks.
+    slots = materialise(drawn.join(permuted.hint("merge"), ["sidx", "index"]).select("shard", "sidx", "slot", "block"), "slots")
     times = slots.groupBy("sidx", "block").agg(F.count(F.lit(1)).alias("times"))
 
     first, last = F.col("start") / block_words, (F.col("start") + F.col("size") - 1) / block_words
