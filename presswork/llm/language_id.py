@@ -8,6 +8,7 @@ prediction needs only the product of the two: one row of language scores per buc
 from __future__ import annotations
 
 import pickle
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,21 +30,39 @@ GRAMS = (2, 3, 4)
 #: Predictions are accepted from the score at which so many of the calibration rows are right.
 PRECISION = 0.99
 UNKNOWN = "und"
-_OTHER = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = r"[\p{L}\p{M}]"
 _SPACE = 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def subwords(text: str | None) -> np.ndarray:
+def letters() -> np.ndarray:
+    """Which code points are letters or marks."""
+    known = np.zeros(sys.maxunicode + 1, bool)
+    known[[ord(c) for c in regex.findall(_LETTER, "".join(map(chr, range(len(known)))))]] = True
+    return known
+
+
+def _words(text: str, known: np.ndarray) -> np.ndarray:
+    """Code points of the words of a text, lower-cased, with one blank before and after each."""
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = known[codes]
+    kept = letter.copy()
+    kept[1:] |= letter[:-1]
+    kept[0] = True
+    return np.where(letter, codes, np.uint32(_SPACE))[kept]
+
+
+def subwords(text: str | None, known: np.ndarray | None = None) -> np.ndarray:
     """Bucket of every 2-, 3- and 4-gram of a whole text; none reaches across a word's border.
 
-    Words are runs of letters, lower-cased, with a blank for their start and end.
+    Words are runs of letters, lower-cased, with a blank for their start and end. ``known`` is
+    the table of ``letters``; callers with many texts make it once.
     """
-    letters = _OTHER.sub(" ", text.lower()).strip() if text else ""
-    if not letters:
+    codes = _words(text, letters() if known is None else known) if text else np.empty(0, np.uint32)
+    if len(codes) < 2:
         return np.empty(0, np.int64)
-    codes = np.frombuffer(f" {letters} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
     inner = codes != _SPACE
+    codes = codes.astype(np.uint64)
     found = []
     for size in GRAMS:
         if len(codes) < size:
@@ -66,7 +85,7 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def _mean_scores(table: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return table[at].mean(axis=0)
+    return np.take(table, at, axis=0).mean(axis=0)
 
 
 def _calibrate(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -89,13 +108,13 @@ def fit(batches: Iterator[pd.DataFrame]) -> bytes:
     Every row also gives a snippet of a few of its words, so that short texts are known too.
     Without rows the model knows no language.
     """
-    draw, rows, names = np.random.default_rng(5), [], []
+    draw, rows, names, known = np.random.default_rng(5), [], [], letters()
     for batch in batches:
         for text, label in zip(batch["text"], batch["label"]):
             words = text.split()
             start = int(draw.integers(0, max(1, len(words) - 4)))
             for piece in (text, " ".join(words[start : start + int(draw.integers(1, 9))])):
-                at = subwords(piece)
+                at = subwords(piece, known)
                 if len(at):
                     rows.append(np.unique(at, return_counts=True))
                     names.append(label)
@@ -147,16 +166,19 @@ def identify(
     """
     spark = docs.sparkSession
     model = train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, **training)
-    shared = spark.sparkContext.broadcast(model)
+    # The letters go along as bits, so that no task has to look them up.
+    shared = spark.sparkContext.broadcast((model, np.packbits(letters())))
     bounded_batches(spark)
 
     @F.pandas_udf("struct<lang_pred string, score double, rejected boolean>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        langs, table, temperature, least = pickle.loads(shared.value)
+        model, bits = shared.value
+        langs, table, temperature, least = pickle.loads(model)
+        known = np.unpackbits(bits)[: sys.maxunicode + 1].astype(bool)
         for texts in batches:
             names, scores, rejected = [], [], []
             for text in texts:
-                at = subwords(text) if langs else ()
+                at = subwords(text, known) if langs else ()
                 if not len(at):
                     names.append(UNKNOWN), scores.append(0.0), rejected.append(True)
                     continue
