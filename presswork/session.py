@@ -34,7 +34,8 @@ def work_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="presswork-"))
     return spark.sparkContext.getCheckpointDir()
