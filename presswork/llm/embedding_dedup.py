@@ -1,9 +1,12 @@
-"""Embedding near-dedup by sorted projection passes.
+"""Embedding near-dedup by passes of random trees that are fitted to the table.
 
-Each pass signs a vector against random hyperplanes, concatenates the bits and sorts all
-vectors by them; vectors that stand close to each other in that order are compared exactly.
-Verified pairs of all passes are united to components, and inside each component every vector
-is compared with every other, block by block, so that link counts are whole.
+Each pass splits the vectors by random hyperplanes, at every node through the median of a sample
+that reached it, so that a dense cone is split as evenly as the rest. All vectors of a leaf are
+compared exactly, in blocks where a leaf is large. Depth and number of passes follow from how
+often probe pairs right at the threshold end in one leaf; where whole comparison costs less, the
+tree has no splits and the result is exact. Verified pairs of all passes are united to
+components, and inside each component every vector is compared with every other, block by block,
+so that link counts are whole.
 """
 
 from __future__ import annotations
@@ -16,25 +19,39 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from presswork.llm.common import bounded_batches, components
+from presswork.llm.common import bounded_batches, components, small
 from presswork.session import materialise
 
-WINDOW = 64
-HASH_BITS = 62
+#: Rows of a leaf that are compared at once; a larger leaf is compared in blocks.
+LEAF = 1024
+#: Mean share of ``LEAF`` that leaves may fill, so that few of them are larger.
+ROOM = 0.75
 MISS = 1e-3
 BLOCK = 512
-CHUNK = 256
+#: Rows and values of the sample that trees are fitted to, and sample rows a leaf at least.
+SAMPLE_ROWS = (4096, 20_000)
+SAMPLE_VALUES = 4_000_000
+LEAF_SAMPLE = 8
+#: Trees and probes that the passes are measured with; the worst ``1 / SLICE`` of them counts.
+TRIALS = 32
+PROBES = 1024
+SLICE = 32
 
 
-def passes_needed(n_vectors: int, threshold: float, window: int = WINDOW, miss: float = MISS) -> int:
-    """Passes after which a pair right at ``threshold`` has stayed apart with probability ``miss``.
+def passes_needed(n_vectors: int, threshold: float, leaf: float = LEAF, miss: float = MISS) -> int:
+    """Passes after which a pair right at ``threshold`` has stayed apart with probability ``miss``,
+    for codes that are spread evenly: the least number, whatever the probes say.
 
-    A pair stands within the window when about log2(n / window) leading bits agree, each of
-    which does with probability 1 - angle / pi.
+    A pair ends in one leaf when log2(n / leaf) splits agree, each of which does with
+    probability 1 - angle / pi.
     """
-    bits = max(0.0, math.log2(max(1, n_vectors) / window))
-    together = (1 - math.acos(threshold) / math.pi) ** bits
-    return max(2, math.ceil(math.log(miss) / math.log(max(1e-12, 1 - together))) if together < 1 else 2)
+    bits = max(0.0, math.log2(max(1, n_vectors) / leaf))
+    return _passes((1 - math.acos(threshold) / math.pi) ** bits, miss)
+
+
+def _passes(together: float, miss: float) -> int:
+    """Passes for a pair that one pass brings together with probability ``together``."""
+    return max(2, math.ceil(math.log(miss) / math.log1p(-max(1e-9, together)))) if together < 1 else 2
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -58,16 +75,82 @@ def _min_labels(linked: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def _window_links(ids: np.ndarray, units: np.ndarray, threshold: float, window: int):
-    """Spanning links among rows that stand at most ``window`` places apart."""
-    for at in range(0, len(ids), CHUNK):
-        part = units[at : at + CHUNK + window]
-        near = part @ part.T >= threshold
-        place = np.arange(len(part))
-        near &= np.abs(place[:, None] - place[None, :]) <= window
-        labels = _min_labels(near | np.eye(len(part), dtype=bool))
-        moved = labels != place
-        yield ids[at : at + len(part)][moved], ids[at : at + len(part)][labels[moved]]
+def _planes(seed: int, k: int, dim: int, depth: int) -> np.ndarray:
+    """Normals of the splits of pass ``k``, one column a level."""
+    return np.random.default_rng([seed, k, dim]).standard_normal((depth, dim)).T
+
+
+def _medians(values: np.ndarray) -> np.ndarray:
+    """Split value of every node, level by level, from the sample's projections (rows x levels)."""
+    node, cuts = np.zeros(len(values), dtype=np.int64), []
+    for level in range(values.shape[1]):
+        column = values[:, level]
+        order = np.lexsort((column, node))
+        bounds = np.searchsorted(node[order], np.arange(2**level + 1))
+        start, end = bounds[:-1], bounds[1:]
+        middle = np.minimum((start + end) // 2, len(values) - 1)
+        ranked = column[order]
+        cut = np.where(end - start > 1, (ranked[np.maximum(middle - 1, 0)] + ranked[middle]) / 2, ranked[middle])
+        cuts.append(np.where(end > start, cut, 0.0))
+        node = 2 * node + (column > cuts[-1][node])
+    return np.concatenate(cuts) if cuts else np.empty(0)
+
+
+def _route(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Node of each row at every level, the root and the leaf among them (rows x levels + 1)."""
+    nodes = np.zeros((len(values), values.shape[1] + 1), dtype=np.int64)
+    for level in range(values.shape[1]):
+        node = nodes[:, level]
+        nodes[:, level + 1] = 2 * node + (values[:, level] > cuts[2**level - 1 + node])
+    return nodes
+
+
+def _probe_pairs(units: np.ndarray, threshold: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled vectors with partners right at ``threshold``: one in a random direction, one
+    towards the nearest other vector of the sample."""
+    probes = units[rng.permutation(len(units))[:PROBES]]
+    alike = probes @ units.T
+    alike[alike > 1 - 1e-9] = -2
+    pairs = []
+    for ahead in (rng.standard_normal(probes.shape), units[alike.argmax(axis=1)]):
+        aside = ahead - (ahead * probes).sum(axis=1, keepdims=True) * probes
+        length = np.linalg.norm(aside, axis=1, keepdims=True)
+        some = length[:, 0] > 1e-6
+        partner = threshold * probes[some] + math.sqrt(1 - threshold**2) * (aside[some] / length[some])
+        pairs.append((probes[some], partner))
+    return np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs])
+
+
+def fit(units: np.ndarray, n_vectors: int, threshold: float, miss: float, seed: int) -> tuple[int, np.ndarray]:
+    """Depth and split values (passes x nodes) of the trees for ``n_vectors`` vectors like ``units``.
+
+    Of the probe pairs the slice that half of the trial trees part most often is judged by the
+    other half. Of all depths the one that ships and compares the fewest rows is taken; at depth 0
+    everything is compared in a single pass.
+    """
+    dim, deepest = units.shape[1], 0
+    while n_vectors / 2**deepest > ROOM * LEAF and 2 ** (deepest + 1) * LEAF_SAMPLE <= len(units):
+        deepest += 1
+    hits = np.zeros((2, deepest + 1, 0))
+    if deepest:
+        left, right = _probe_pairs(units, threshold, np.random.default_rng([seed, dim]))
+        hits = np.zeros((2, deepest + 1, len(left)))
+        for k in range(TRIALS):
+            planes = _planes(seed, k, dim, deepest)
+            cuts = _medians(units @ planes)
+            hits[k % 2] += (_route(left @ planes, cuts) == _route(right @ planes, cuts)).T
+    best = None
+    for depth in range(deepest + 1):
+        rows, passes = n_vectors / 2**depth, 1
+        if depth:
+            worst = np.argsort(hits[0, depth], kind="stable")[: max(1, hits.shape[2] // SLICE)]
+            together = hits[1, depth, worst].mean() / (TRIALS // 2)
+            passes = max(passes_needed(n_vectors, threshold, rows, miss), _passes(together, miss))
+        cost = passes * (1 if rows <= ROOM * LEAF else max(1.0, 2 * rows / LEAF))
+        if best is None or cost < best[0]:
+            best = cost, depth, passes
+    _, depth, passes = best
+    return depth, np.stack([_medians(units @ _planes(seed, k, dim, depth)) for k in range(passes)])
 
 
 def near_duplicates(
@@ -75,7 +158,6 @@ def near_duplicates(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     threshold: float = 0.95,
-    window: int = WINDOW,
     miss: float = MISS,
     seed: int = 11,
 ) -> DataFrame:
@@ -86,9 +168,9 @@ def near_duplicates(
     are compared once and counted as often as they occur; rows that share an id are one node.
     Vectors of different lengths never link. An empty table gives an empty result.
 
-    Each pass moves every vector once, so that cost grows with ``passes_needed``, that is with
-    a power of the row count; counting links inside a component costs its size squared, in
-    blocks of ``BLOCK`` vectors of which a task holds two.
+    A pass moves every vector once, and more often where a leaf holds more than ``LEAF``. Passes
+    grow with the table and with how closely its vectors lie (``fit``); counting links inside a
+    component costs its size squared, in blocks of ``BLOCK`` vectors of which a task holds two.
     """
     spark = df.sparkSession
     bounded_batches(spark, 4096)
@@ -101,37 +183,55 @@ def near_duplicates(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")
     )
     distinct = materialise(distinct.withColumn("dim", F.size("v")), "vectors")
-    passes = passes_needed(distinct.count(), threshold, window, miss)
+
+    trees = {}
+    for dim, count in [tuple(r) for r in distinct.groupBy("dim").count().where(F.col("count") > LEAF).collect()]:
+        wanted = min(max(SAMPLE_ROWS[0], count * 2 * LEAF_SAMPLE // LEAF), SAMPLE_ROWS[1], SAMPLE_VALUES // dim + 64)
+        drawn = F.pmod(F.xxhash64(F.lit(seed), "rep", "v"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, wanted / count))
+        sample = distinct.where(F.col("dim") == dim).where(drawn).select("rep", "v").toPandas().sort_values("rep")
+        if len(sample):
+            trees[dim] = fit(_matrix(sample["v"]), count, threshold, miss, seed)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby("dim"):
+                depth, cuts = trees.get(int(dim), (0, np.empty((1, 0))))
                 units = _matrix(part["v"])
-                for k in range(passes):
-                    planes = np.random.default_rng([seed, k, int(dim)]).standard_normal((int(dim), HASH_BITS))
-                    code = (units @ planes > 0) @ (np.int64(1) << np.arange(HASH_BITS - 1, -1, -1))
-                    yield pd.DataFrame(
-                        {"dim": part["dim"], "pass": np.int32(k), "code": code, "rep": part["rep"], "v": part["v"]}
-                    )
+                leaves = [_route(units @ _planes(seed, k, int(dim), depth), cut)[:, -1] for k, cut in enumerate(cuts)]
+                yield pd.DataFrame(
+                    {"rep": part["rep"], "dim": part["dim"], "leaves": list(np.stack(leaves, axis=1)), "v": part["v"]}
+                )
 
     kind = rows.schema["v"].dataType.simpleString()
-    order = ["dim", "pass", "code", "rep"]
-    signed = distinct.select("rep", "dim", "v").mapInPandas(
-        sign, f"dim int, pass int, code long, rep long, v {kind}"
+    signed = distinct.select("rep", "dim", "v").mapInPandas(sign, f"rep long, dim int, leaves array<long>, v {kind}")
+    signed = materialise(signed, "leaves")
+    leaf = ["dim", "pass", "leaf"]
+    sizes = signed.select("dim", F.posexplode("leaves").alias("pass", "leaf")).groupBy(*leaf).count()
+    pieces = F.when(F.col("count") <= LEAF, 1).otherwise(F.ceil(2 * F.col("count") / LEAF)).cast("int")
+    # A leaf of one row has nothing to compare.
+    sizes = materialise(sizes.where("count > 1").select(*leaf, pieces.alias("pieces")), "leaf_sizes")
+    piece = F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("pieces")).cast("int")
+    # Two pieces at a time: every pair of rows of the leaf meets, those of one piece several times.
+    others = F.when(F.col("pieces") == 1, F.array(F.lit(0))).otherwise(
+        F.array_remove(F.sequence(F.lit(0), F.col("pieces") - 1), F.col("piece"))
+    )
+    in_leaves = (
+        signed.select("rep", "dim", "v", F.posexplode("leaves").alias("pass", "leaf"))
+        .join(small(sizes), leaf)
+        .withColumn("piece", piece)
+        .withColumn("other", F.explode(others))
+        .select(*leaf, F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "rep", "v")
     )
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Neighbours in the sorted stream; the last rows of a batch wait for the next one."""
-        held = None
-        for batch in batches:
-            batch = batch if held is None else pd.concat([held, batch])
-            for _, part in batch.groupby(["dim", "pass"], sort=False):
-                for a, b in _window_links(part["rep"].to_numpy(), _matrix(part["v"]), threshold, window):
-                    yield pd.DataFrame({"a": a, "b": b})
-            held = batch.iloc[-window:]
-
-    sorted_rows = signed.repartitionByRange(*order).sortWithinPartitions(*order)
-    links = sorted_rows.mapInPandas(compare, "a long, b long")
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        """Spanning links among the rows of a leaf, or of two pieces of it."""
+        part = part.sort_values("rep")
+        units, ids = _matrix(part["v"]), part["rep"].to_numpy()
+        labels = _min_labels((units @ units.T >= threshold) | np.eye(len(ids), dtype=bool))
+        moved = labels != np.arange(len(ids))
+        return pd.DataFrame({"a": ids[moved], "b": ids[labels[moved]]})
+
+    links = in_leaves.groupBy(*leaf, "lo", "hi").applyInPandas(compare, "a long, b long")
     found = materialise(components(links), "components")
 
     heads = found.select(F.col("component").alias("node"), "component").distinct()

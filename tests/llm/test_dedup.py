@@ -80,6 +80,35 @@ def test_passes_grow_with_the_table():
     assert few < many
 
 
+def test_embedding_recall_in_a_dense_cone(spark, monkeypatch):
+    """2,000 of 4,399 vectors at a pairwise cosine near 0.9, with pairs right above the threshold."""
+    monkeypatch.setattr(embedding_dedup, "LEAF", 128)
+    rng = np.random.default_rng(5)
+    units = embedding_dedup.unit(rng.standard_normal((4000, 64)))
+    centre = units[0]
+    aside = embedding_dedup.unit(units - (units @ centre)[:, None] * centre + 1e-9)
+    cone = np.sqrt(0.9) * centre + np.sqrt(0.1) * aside[1:1601]
+    step = rng.standard_normal((400, 64))
+    step = embedding_dedup.unit(step - (step * cone[:400]).sum(axis=1, keepdims=True) * cone[:400])
+    table = np.concatenate([cone, 0.951 * cone[:400] + np.sqrt(1 - 0.951**2) * step, units[1601:]]).astype(np.float32)
+    full = embedding_dedup.unit(table.astype(np.float64))
+    a, b = np.nonzero(np.triu(full @ full.T >= 0.95, 1))
+    component = reachable(range(len(table)), zip(a.tolist(), b.tolist()))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(table)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.component_id for r in embedding_dedup.near_duplicates(df).collect()}
+    assert len(a) >= 400
+    assert sum(got[i] == got[j] for i, j in zip(a.tolist(), b.tolist())) >= 0.995 * len(a)
+    assert sum(got[i] == c for i, c in component.items()) >= 0.995 * len(table)
+
+
+def test_trees_split_where_vectors_are_spread():
+    units = embedding_dedup.unit(np.random.default_rng(6).standard_normal((4096, 64)))
+    depth, cuts = embedding_dedup.fit(units, 100_000, 0.95, 1e-3, 11)
+    assert depth >= 5 and 2 <= len(cuts) < 40
+    leaves = np.bincount(embedding_dedup._route(units @ embedding_dedup._planes(11, 0, 64, depth), cuts[0])[:, -1])
+    assert leaves.max() <= 2 * leaves.mean()
+
+
 # --- MinHash ---------------------------------------------------------------------------------------
 
 
