@@ -18,6 +18,7 @@ from presswork.llm import (
     toxicity,
     warc,
 )
+from presswork.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +49,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the mix; returns what it took of each document."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, cap=3)
+    materialise(mixed.blocks, "mix")
     return mixed.documents.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 

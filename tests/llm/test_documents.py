@@ -137,6 +137,53 @@ def test_mix_of_odd_rows(spark, odd):
     assert mixing.mixed_documents(odd).columns == odd.columns
 
 
+def test_mix_packs_the_words_of_every_slot(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    names = ["a", "b", None]
+    rows = [(k, "\n ".join(f"é{k}.{n}" for n in range(k % 23)) + "\t", names[k % 3]) for k in range(60)]
+    rows += [(90, " ".join(f"long.{n}" for n in range(700)), "b"), (91, None, "b"), (None, "x y z", "a")]
+    rows += [(92, "same size", "a"), (92, "size same", "a")]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_words=8)
+    blocks = mixed.blocks.collect()
+    slot = lambda found: sorted((r.shard, r.sidx, r.slot, r.block) for r in found)
+    assert slot(blocks) == slot(mixed.slots.collect())
+    texts, words = {}, defaultdict(Counter)
+    for r in blocks:
+        found = r.text.split(" ")
+        assert r.source == names[r.sidx - 1] and len(found) == r.n_words <= 8
+        assert texts.setdefault((r.sidx, r.block), r.text) == r.text
+        words[r.source].update(found)
+    documents = mixed.documents.collect()
+    for name in names:
+        own = {w for _, t, s in rows if s == name for w in (t or "").split()}
+        assert set(words[name]) <= own
+        assert sum(words[name].values()) == sum(r.taken for r in documents if r.source == name)
+    for r in documents:
+        if r.doc_id is not None and r.doc_id < 91:
+            text = next(t for i, t, _ in rows if i == r.doc_id)
+            assert sum(words[r.source][w] for w in text.split()) == r.taken
+    # Neighbours in a block are neighbours in their document.
+    for found in (text.split(" ") for text in texts.values()):
+        for a, b in zip(found, found[1:]):
+            if a.startswith("long.") and b.startswith("long."):
+                assert int(b[5:]) == int(a[5:]) + 1
+
+
+@pytest.mark.parametrize("bucket_rows", [5, 1024])
+def test_whole_documents_stay_within_one_of_the_target(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    lengths = {"a": [2000] * 40, "b": [1500 + 9 * k for k in range(60)], "c": [20_000], "d": [20_000, 30, 30]}
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate((s, n) for s, sizes in lengths.items() for n in sizes)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    options = {"share": 0.6, "weights": (3, 3, 1, 1)}
+    mixed = {r.source: r.target for r in mixing.mix(df, **options).documents.collect()}
+    got = Counter()
+    for r in mixing.mixed_documents(df, **options).collect():
+        got[r.source] += len(r.text.split())
+    for source, sizes in lengths.items():
+        assert abs(got[source] - mixed[source]) <= max(sizes) / 2 + 64
+
+
 # --- sharding --------------------------------------------------------------------------------------
 
 
