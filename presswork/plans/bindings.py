@@ -1,7 +1,7 @@
 """Article-shaped views over the driver's tables.
 
 Each view comes twice: as a DataFrame and as the SQL of the same rows for the oracle. Both
-read the whole source table.
+read the whole source table, but for ``news_pages``, in which the pages of some URLs are missing.
 """
 
 from __future__ import annotations
@@ -137,8 +137,8 @@ items AS (SELECT id, position, keyword, '&lt;b&gt;' || title || '&lt;/b&gt;' AS
 )
 
 
-def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article pages in the news site's markup; some URLs have none."""
+def every_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article pages in the news site's markup, one per document."""
 
     def escaped(name: str) -> str:
         return f"replace(replace(replace({name}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
@@ -162,11 +162,12 @@ def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         + escaped("content")
         + ", '</div><style>p{}</style><div></div></div><div>tail</div></body></html>')"
     )
-    return (
-        feed(spark, sf_dir)
-        .where("id % 10 <> 9 and id % 5 <> 0")
-        .select("id", "naver_url", F.expr(html).alias("html"))
-    )
+    return feed(spark, sf_dir).select("id", "naver_url", F.expr(html).alias("html"))
+
+
+def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article pages as fetched; some URLs have none."""
+    return every_page(spark, sf_dir).where("id % 10 <> 9 and id % 5 <> 0")
 
 
 _SPACES = "'" + WHITESPACE + "'"
@@ -192,6 +193,17 @@ news_pages AS (SELECT id, naver_url, {sql_strip('title')} AS page_title,
   FROM feed WHERE id % 10 <> 9 AND id % 5 <> 0)"""
 )
 
+EVERY_PAGE = (
+    ITEMS
+    + f""",
+every_page AS (SELECT id, naver_url, {sql_strip('title')} AS page_title,
+    publisher AS page_publisher,
+    CASE id % 3 WHEN 0 THEN journalist_name
+      WHEN 1 THEN journalist_name || ',' || journalist_name || '2' ELSE '' END AS page_reporter,
+    {sql_clean('content')} AS page_content
+  FROM feed)"""
+)
+
 # --- scores per journalist -----------------------------------------------------------------------------
 
 

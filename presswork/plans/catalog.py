@@ -509,6 +509,23 @@ def reporter_cards(spark, sf):
     return B.news_pages(spark, sf).select("id", html.reporter_cards(page).alias("reporters"))
 
 
+@query(
+    f"""WITH {B.EVERY_PAGE} SELECT naver_url, page_title, page_publisher, page_reporter, page_content
+    FROM every_page"""
+)
+def article_page_extract_all(spark, sf):
+    return feed.extract_pages(B.every_page(spark, sf)).drop("id")
+
+
+@query(
+    f"""WITH {B.EVERY_PAGE} SELECT id, CASE WHEN id % 3 = 1 THEN page_reporter END AS reporters
+    FROM every_page"""
+)
+def reporter_cards_all(spark, sf):
+    page = html.visible_markup(F.col("html"))
+    return B.every_page(spark, sf).select("id", html.reporter_cards(page).alias("reporters"))
+
+
 # --- sources -------------------------------------------------------------------------------------------
 
 
