@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, with production parameters, and SQL where it can say the same."""
+"""The operators over their whole tables, with production parameters, and SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from presswork.llm import (
     decontamination,
     embedding_dedup,
+    fingerprints,
     html_extraction,
     language_id,
     minhash_dedup,
     mixing,
     secrets,
     sharding,
+    spelling,
     toxicity,
     warc,
+    whitening,
 )
 from presswork.session import materialise
 
@@ -75,11 +78,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), min_length=5, min_count=3, ratio=2)
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_embedding_dedup, op2_minhash_dedup, op3_decontamination, op4_warc, op5_mixing, op6_toxicity,
-        op7_html_extraction, op8_language_id, op9_sharding, op10_secrets,
+        op7_html_extraction, op8_language_id, op9_sharding, op10_secrets, op11_embedding_whitening, op12_spelling_variants,
+        op13_document_fingerprints,
     )
 }
 
@@ -139,4 +155,30 @@ links AS MATERIALIZED (SELECT a, b FROM both_sides JOIN n x ON x.doc_id = a JOIN
 {_REACH.format(id="doc_id", nodes="d")}
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN component ON a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""",
+    # crc32 by its table of 256 remainders; near words share a text with one code point taken out:
+    # at one place of both, or the shorter word is that text of the longer.
+    "op12_spelling_variants": f"""WITH RECURSIVE
+remainders AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS r),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
+    unnest(regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents)
+    WHERE len(run) >= 5 GROUP BY ALL),
+sums AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(strlen(doc_id || ':' || run)),
+    lambda k: CAST('0x' || substring(hex(encode(doc_id || ':' || run)), 2 * k::INT + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c // 256, r[xor(c, b) % 256 + 1]))) AS h FROM runs, remainders),
+typed AS (SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, (h % len(run))::INT) || substring(run, (h % len(run))::INT + 2)
+    ELSE run END AS word, n FROM sums),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM typed WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+less AS MATERIALIZED (SELECT word, n, k, substring(word, 1, k::INT - 1) || substring(word, k::INT + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS k FROM words)),
+near AS MATERIALIZED (SELECT p.word, q.word AS other, q.n AS m FROM less p JOIN less q ON p.rest = q.rest AND p.k = q.k AND p.word <> q.word
+    UNION SELECT p.word, q.word, q.n FROM less p JOIN words q ON p.rest = q.word
+    UNION SELECT q.word, p.word, p.n FROM less p JOIN words q ON p.rest = q.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, (-m, encode(other))) AS other FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN other END AS form,
+    CASE WHEN m >= 2 * w.n THEN m END AS form_n FROM words w LEFT JOIN best USING (word)),
+steps(word, reached) AS (SELECT word, word FROM forms
+    UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.reached WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.reached AS root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s USING (word)
+    JOIN forms e ON e.word = s.reached AND e.form IS NULL""",
 }
