@@ -14,6 +14,9 @@ COUNTERS = [
     "total_articles", "scored_articles", "pending_articles",
 ]
 
+#: What a journalist row stores of its statistics.
+STORED = ["article_count", "avg_clickbait_score", "max_score"]
+
 
 def score_statistics(
     articles: DataFrame,

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presswork import schemas
 from presswork import settings as S
 from presswork.functions import dates, html, records, text, validation
 from presswork.operators import dedup, feed, journalists, scoring, stats
@@ -152,6 +153,26 @@ def job_stats_sync(spark, sf):
     return jobs.sync_statistics(people, articles, fix=True, full_update=True).changes
 
 
+@query(
+    f"""WITH {B.STORED}, flags AS (SELECT *, actual_count > 0 AND
+      (other_mismatch OR abs(avg_clickbait_score - actual_avg) > 0.01) AS due FROM audited)
+    SELECT CAST(id AS VARCHAR) AS id, CASE WHEN due THEN actual_count ELSE article_count END AS article_count,
+      CASE WHEN due THEN top_avg ELSE avg_clickbait_score END AS avg_clickbait_score,
+      CASE WHEN due THEN actual_max ELSE max_score END AS max_score,
+      CASE WHEN due AND (actual_count <> article_count OR top_avg <> avg_clickbait_score OR actual_max <> max_score)
+        THEN '2024-06-01 00:00:00' END AS updated_at FROM flags"""
+)
+def job_stats_saved(spark, sf):
+    path = new_path(spark, "journalists")
+    tables.append_journalists(tables.conform(B.stored_journalists(spark, sf), schemas.JOURNALIST), path)
+    stored = tables.read_journalists(spark, path)
+    articles = B.scores(spark, sf).withColumn("journalist_id", F.col("journalist_id").cast("string"))
+    synced = jobs.sync_statistics(stored, articles)
+    jobs.save_statistics(path, synced.journalists, F.to_timestamp(F.lit("2024-06-01 00:00:00")))
+    changed = F.date_format("updated_at", TS_FORMAT).alias("updated_at")
+    return tables.read_journalists(spark, path).select("id", *stats.STORED, changed)
+
+
 @query(
     f"""WITH {B.ART} SELECT publisher, count(*) AS article_count,
     count(clickbait_score) AS scored_count, round_even(avg(clickbait_score), 2) AS mean_score,
@@ -260,8 +281,8 @@ def dedup_totals(spark, sf):
 
 @query(_SURVIVORS_SQL)
 def job_merge_duplicates(spark, sf):
-    merged = jobs.merge_duplicates(B.feed(spark, sf)).survivors
-    path = jobs.write_new_version(merged, "articles")
+    path = _article_table(spark, sf)
+    jobs.delete_duplicates(spark, path)
     return tables.read_table(spark, path).select(
         "id", "title", "journalist_name", "publisher", "clickbait_score"
     )

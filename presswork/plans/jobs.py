@@ -6,14 +6,14 @@ import uuid
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import schemas
 from presswork import settings as S
 from presswork.operators import dedup, feed, journalists, scoring, skew, stats
 from presswork.session import materialise, new_path
-from presswork.sources import jsonl, tables
+from presswork.sources import jsonl, partitions, tables
 
 
 @dataclass
@@ -88,7 +88,7 @@ def save_ingest(
     people = tables.conform(result.new_journalists.withColumns(times), schemas.JOURNALIST)
     texts = tables.conform(result.new_articles.withColumns(times), schemas.ARTICLE)
     people, texts = materialise(people, "new-journalists"), materialise(texts, "new-articles")
-    people.write.mode("append").parquet(journalists_path)
+    tables.append_journalists(people, journalists_path)
     tables.append_articles(texts, articles_path)
 
 
@@ -194,6 +194,37 @@ def sync_statistics(
     return SyncResult(current, fixes, updates, changes)
 
 
+def save_statistics(journalists_path: str, fresh: DataFrame, asof: Column) -> None:
+    """Store the statistics of ``fresh`` (a ``SyncResult``'s journalists) in the journalist table.
+
+    Only buckets that hold a journalist whose values differ are rewritten, and only its row gets
+    ``asof`` as ``updated_at``. Journalists the table does not have are not added. A run that
+    stopped in between is completed first; a rerun finds nothing to change.
+    """
+    spark = fresh.sparkSession
+    partitions.finish(spark, journalists_path)
+    names = stats.STORED
+    values = [F.col(name).cast(schemas.JOURNALIST[name].dataType).alias(f"_{name}") for name in names]
+    new = fresh.select(F.col("id").cast("string"), *values)
+    differs = F.lit(False)
+    for name in names:
+        differs = differs | ~F.col(name).eqNullSafe(F.col(f"_{name}"))
+    stored = tables.read_table(spark, journalists_path, schemas.JOURNALIST_TABLE)
+    changed = stored.join(new, "id").where(differs).select("id", "bucket", *[f"_{name}" for name in names])
+    changed = materialise(changed, "changed-statistics")
+    touched = [row.bucket for row in changed.select("bucket").distinct().collect()]
+    updates = changed.drop("bucket").withColumn("_new", F.lit(True))
+
+    def updated(part: DataFrame) -> DataFrame:
+        joined = part.join(skew.broadcast_if_small(updates), "id", "left")
+        take = {**{name: F.col(f"_{name}") for name in names}, "updated_at": asof.cast("timestamp")}
+        return joined.select(
+            *[F.when(F.col("_new"), take[c]).otherwise(F.col(c)).alias(c) if c in take else F.col(c) for c in part.columns]
+        )
+
+    partitions.replace(spark, journalists_path, "bucket", touched, updated, schemas.JOURNALIST_TABLE)
+
+
 @dataclass
 class MergeResult:
     totals: DataFrame
@@ -208,6 +239,23 @@ def merge_duplicates(articles: DataFrame, dry_run: bool = False) -> MergeResult:
     )
 
 
+def delete_duplicates(spark: SparkSession, articles_path: str) -> int:
+    """Delete the losers of every duplicate group from the article table; how many there were.
+
+    Only days that hold a loser are rewritten: first staged, then put in place day by day. A run
+    that stopped anywhere is completed by the next one, which then looks for what is left.
+    """
+    partitions.finish(spark, articles_path)
+    articles = tables.read_table(spark, articles_path)
+    lost = materialise(dedup.losers(articles).select("id"), "losers")
+    ids = skew.broadcast_if_small(lost)
+    days = articles.select("id", "local_date").join(ids, "id", "left_semi").select("local_date").distinct()
+    # One value per calendar day.
+    touched = [row.local_date for row in days.collect()]
+    partitions.replace(spark, articles_path, "local_date", touched, lambda part: part.join(ids, "id", "left_anti"))
+    return lost.count()
+
+
 def write_new_version(df: DataFrame, name: str, folder: str | None = None) -> str:
     """Write a table version to a fresh path and return the path for the reader to switch to.
 

@@ -29,6 +29,9 @@ JOURNALIST = T.StructType([
     T.StructField("updated_at", T.TimestampType()),
 ])
 
+#: The journalist table with its partition column.
+JOURNALIST_TABLE = T.StructType([*JOURNALIST, T.StructField("bucket", T.IntegerType())])
+
 BATCH = T.StructType([
     T.StructField("batch_id", T.StringType(), False),
     T.StructField("status", T.StringType()),

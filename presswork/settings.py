@@ -70,3 +70,6 @@ PROMPT_TEMPLATE = (
     "아래 기사 제목이 본문을 얼마나 왜곡하거나 과장하는지 평가하세요. 점수는 0(정확함)부터 "
     "100(본문과 무관함)까지의 정수입니다.\n\n제목: {title}\n\n본문: {content}"
 )
+
+# --- defaults of this project: table layout ---------------------------------------------------------
+JOURNALIST_BUCKETS = 64

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from presswork import schemas
+from presswork import settings as S
 from presswork.functions.dates import local_date
 
 
@@ -48,3 +50,19 @@ def replace_days(staged: DataFrame, path: str) -> None:
         .partitionBy("local_date")
         .parquet(path)
     )
+
+
+def with_bucket(journalists: DataFrame, buckets: int = S.JOURNALIST_BUCKETS) -> DataFrame:
+    """Add the partition column of the journalist table, a hash of the id."""
+    return journalists.withColumn("bucket", F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(buckets)).cast("int"))
+
+
+def append_journalists(journalists: DataFrame, path: str, buckets: int = S.JOURNALIST_BUCKETS) -> None:
+    """Append to the journalist table, laid out by a hash of the id."""
+    rows = with_bucket(journalists, buckets).hint("rebalance", F.col("bucket"))
+    rows.write.mode("append").partitionBy("bucket").parquet(path)
+
+
+def read_journalists(spark: SparkSession, path: str) -> DataFrame:
+    """The journalist table without its partition column."""
+    return read_table(spark, path, schemas.JOURNALIST_TABLE).drop("bucket")
