@@ -151,31 +151,48 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 # --- greedy dedup of a feed ------------------------------------------------------------------------
 
 
+def feed_keys(
+    feed: DataFrame, position: str = "position", url: str = "naver_url", scope: Sequence[str] = ()
+) -> DataFrame:
+    """``pos, url, digest`` of each row: two rows of a scope clash if either key is equal.
+
+    Scope and key are in one digest, so that a null scope is a scope like others; a row without
+    URL shares it with nobody.
+    """
+    where = [F.col(name).cast("string") for name in scope]
+    own = F.concat(F.lit("pos"), F.col(position).cast("string"))
+    return feed.select(
+        F.col(position).alias("pos"),
+        F.when(F.col(url).isNull(), own).otherwise(digest(*where, F.col(url))).alias("url"),
+        digest(*where, content_key()).alias("digest"),
+    )
+
+
 def feed_dedup(
     feed: DataFrame,
     position: str = "position",
     url: str = "naver_url",
     scope: Sequence[str] = (),
     hot_rows: int = skew.HOT_ROWS,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Keep a row iff no kept earlier row of its scope has its URL or its content.
 
     ``position`` is unique in the table and gives the feed order. The sequential rule equals
     a series of rounds: keep the rows that come first in both their URL group and their
-    content group, remove whatever shares either with them, repeat on the rest.
+    content group, remove whatever shares either with them, repeat on the rest. ``earlier``
+    has the ``url`` and ``digest`` of rows kept before this feed, each once.
     """
-    # Scope and key in one digest, so that a null scope is a scope like others; a row without
-    # URL shares it with nobody.
-    where = [F.col(name).cast("string") for name in scope]
-    own = F.concat(F.lit("pos"), F.col(position).cast("string"))
-    keys = feed.select(
-        F.col(position).alias("pos"),
-        F.when(F.col(url).isNull(), own).otherwise(digest(*where, F.col(url))).alias("url"),
-        digest(*where, content_key()).alias("digest"),
-    )
+    keys = feed_keys(feed, position, url, scope)
+    if earlier is not None:
+        keys = materialise(keys, "feed-keys")
     # A later copy of both URL and content never survives and never blocks another row.
-    rest = keys.groupBy("url", "digest").agg(F.min("pos").alias("pos"))
     every = keys.select("pos")
+    if earlier is not None:
+        for column in ("url", "digest"):
+            known = earlier.select(column).where(F.col(column).isNotNull())
+            keys = skew.salted_join(keys, known, [column], "left_anti", spread=["pos"], hot_rows=hot_rows)
+    rest = keys.groupBy("url", "digest").agg(F.min("pos").alias("pos"))
     kept: DataFrame | None = None
     while True:
         rest = materialise(rest, "feed-rest")

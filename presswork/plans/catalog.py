@@ -910,19 +910,15 @@ firsts AS (SELECT k.*, min(position) OVER (PARTITION BY naver_url) AS first_posi
 )
 
 
-@query(
-    f"""WITH {_INGEST} SELECT naver_url, title, content, publisher, journalist_name,
+_INGESTED_SQL = f"""WITH {_INGEST} SELECT naver_url, title, content, publisher, journalist_name,
     sha256(length(journalist_name) || ':' || journalist_name || length(publisher) || ':' || publisher)
       AS journalist_id,
     strftime(local_at, '%Y-%m-%d %H:%M:%S') AS published_kst FROM firsts
     WHERE position = first_position AND naver_url NOT IN (SELECT naver_url FROM known)"""
-)
-def job_ingest(spark, sf):
-    people = spark.createDataFrame([], "id string, name string, publisher string")
-    result = jobs.ingest(
-        B.items(spark, sf), B.news_pages(spark, sf).drop("id"), _stored(spark, sf), people
-    )
-    return result.new_articles.select(
+
+
+def _ingested_columns(articles):
+    return articles.select(
         "naver_url",
         "title",
         "content",
@@ -933,30 +929,41 @@ def job_ingest(spark, sf):
     )
 
 
-@query(
-    f"""WITH {_COMBINED}, {_STORED_SQL} SELECT DISTINCT naver_url FROM checked
-    WHERE reject_reason IS NULL AND naver_url NOT IN (SELECT naver_url FROM known)"""
-)
+@query(_INGESTED_SQL)
+def job_ingest(spark, sf):
+    people = spark.createDataFrame([], "id string, name string, publisher string")
+    result = jobs.ingest(
+        B.items(spark, sf), B.news_pages(spark, sf).drop("id"), _stored(spark, sf), people
+    )
+    return _ingested_columns(result.new_articles)
+
+
+def _pieces(rows: DataFrame, order: str, n: int) -> list[DataFrame]:
+    """``n`` runs of ``rows`` by ``order``, none of them the whole table."""
+    last = rows.agg(F.max(order)).first()[0]
+    cuts = [last * k // n for k in range(1, n)]
+    number = sum(((F.col(order) > cut).cast("int") for cut in cuts), F.lit(0))
+    return [rows.where(number == k) for k in range(n)]
+
+
+@query(_INGESTED_SQL)
 def stream_ingest(spark, sf):
-    source, target = new_path(spark, "stream-source"), new_path(spark, "stream-articles")
+    """The feed comes in three pieces; what is new is the same as in the job over all of it."""
+    source, target, people = (new_path(spark, f"stream-{name}") for name in ("source", "articles", "journalists"))
+    state = new_path(spark, "stream-state")
     columns = [
-        "position", "naver_url", "title", "content", "publisher", "journalist_name", "published_at",
+        "position", "keyword", "naver_url", "title", "content", "publisher", "journalist_name", "published_at",
     ]
-    rows = _combined(spark, sf).select(*columns)
-    rows.write.parquet(source)
-    stored = B.feed(spark, sf).where("id % 3 = 0").select(
-        *[c for c in columns if c != "position"]
-    )
-    tables.append_articles(stored, target)
-    streams.ingest_stream(
-        streams.read_files(spark, source, rows.schema), target, new_path(spark, "stream-state")
-    ).awaitTermination()
-    before = stored.select("naver_url").distinct()
-    return (
-        tables.read_table(spark, target)
-        .select("naver_url")
-        .join(before, "naver_url", "left_anti")
-    )
+    rows = materialise(_combined(spark, sf).select(*columns), "stream-feed")
+    stored = B.feed(spark, sf).where("id % 3 = 0").withColumn("id", F.sha2("naver_url", 256))
+    tables.append_articles(tables.conform(stored, schemas.ARTICLE), target)
+    tables.append_journalists(spark.createDataFrame([], schemas.JOURNALIST), people)
+    for k, piece in enumerate(_pieces(rows, "position", 3)):
+        piece.write.parquet(f"{source}/piece={k}")
+        feed_items = streams.read_files(spark, f"{source}/*", rows.schema)
+        streams.feed_stream(feed_items, target, people, state).awaitTermination()
+    table = tables.read_table(spark, target)
+    return _ingested_columns(table.join(stored.select("naver_url").distinct(), "naver_url", "left_anti"))
 
 
 # --- scoring -------------------------------------------------------------------------------------------------
@@ -1145,16 +1152,15 @@ def job_apply_results(spark, sf):
 
 @query(_LIVE_SQL)
 def stream_score_apply(spark, sf):
-    path, source = _article_table(spark, sf), new_path(spark, "stream-lines")
+    """The lines come in two pieces that part a batch."""
+    path, source, state = _article_table(spark, sf), new_path(spark, "stream-lines"), new_path(spark, "stream-state")
     lines = B.result_lines(spark, sf).drop("payload")
-    lines.write.parquet(source)
-    streams.score_stream(
-        streams.read_files(spark, source, lines.schema),
-        path,
-        B.batches(spark, sf),
-        new_path(spark, "stream-state"),
-        F.expr(_APPLIED_AT),
-    ).awaitTermination()
+    counts = lines.where(text.strip(F.col("value")) != "").groupBy("batch_id").agg(F.count(F.lit(1)).alias("article_count"))
+    batches = B.batches(spark, sf).join(counts, "batch_id")
+    for k, piece in enumerate(_pieces(lines, "pos", 2)):
+        piece.write.parquet(f"{source}/piece={k}")
+        rows = streams.read_files(spark, f"{source}/*", lines.schema)
+        streams.complete_score_stream(rows, path, batches, state, F.expr(_APPLIED_AT)).awaitTermination()
     return _applied_columns(tables.read_table(spark, path))
 
 

@@ -51,13 +51,24 @@ def ingest(
     valid = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     dated = valid if day is None else feed.until_older(valid, day, scope)
     unique = dedup.feed_dedup(dated, scope=scope)
+    return admit(dated, unique, stored_articles, stored_journalists, checked.where(F.col("reject_reason").isNotNull()))
+
+
+def admit(
+    valid: DataFrame,
+    unique: DataFrame,
+    stored_articles: DataFrame,
+    stored_journalists: DataFrame,
+    rejected: DataFrame,
+) -> IngestResult:
+    """New articles and journalists of ``unique``, those rows of ``valid`` that repeat no other."""
     narrow = unique.select("position", "naver_url")
     labelled = materialise(
         dedup.insert_outcomes(narrow, stored_articles).select("position", "outcome"),
         "ingest-outcomes",
     )
     chosen = labelled.where(F.col("outcome") == "inserted").select("position")
-    inserted = dated.join(chosen, "position", "left_semi")
+    inserted = valid.join(chosen, "position", "left_semi")
     known = journalists.resolve(inserted, stored_journalists)
     with_ids = journalists.attach_ids(
         inserted.withColumn("id", F.sha2("naver_url", 256)), known
@@ -69,7 +80,7 @@ def ingest(
     return IngestResult(
         new_articles=with_ids.select(*columns),
         new_journalists=journalists.new_journalists(inserted, stored_journalists),
-        rejected=checked.where(F.col("reject_reason").isNotNull()),
+        rejected=rejected,
         outcomes=labelled.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")),
     )
 
