@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from presswork.sources import folders
+
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -56,3 +58,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these tables. Nothing may read them any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            # Only ever in the working folder, one level below it.
+            if folder.rsplit("/", 1)[0].rstrip("/").endswith(work_folder(spark).split(":", 1)[-1].rstrip("/")):
+                folders.remove(spark, folder)

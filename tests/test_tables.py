@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from presswork import schemas
 from presswork.plans import jobs
+from presswork.session import discard, materialise
 from presswork.sources import folders, partitions, tables
 
 LONG = "본문 " * 60
@@ -131,3 +132,13 @@ def test_statistics_rewrite_only_buckets_that_change(spark, tmp_path):
         after = {name: folders.children(spark, f"{path}/{name}") for name in folders.children(spark, path)}
         buckets = {r.bucket for r in tables.with_bucket(spark.createDataFrame([("j3",), ("j7",)], "id string")).collect()}
         assert {name for name in stored if stored[name] != after[name]} == {f"bucket={b}" for b in buckets}
+
+
+def test_discard_deletes_only_written_tables(spark, tmp_path):
+    one, two = materialise(spark.range(5), "one"), materialise(spark.range(3), "two")
+    elsewhere = str(tmp_path / "kept" / "table")
+    spark.range(4).write.parquet(elsewhere)
+    discard(one, spark.read.parquet(elsewhere), materialise(spark.range(0), "none"))
+    assert two.count() == 3 and spark.read.parquet(elsewhere).count() == 4
+    with pytest.raises(Exception):
+        one.collect()
