@@ -157,9 +157,12 @@ def contamination(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, percent: int = 5) -> DataFrame:
-    """Rows of ``docs`` that are not contaminated, with all their columns."""
-    key = F.unhex(F.md5("text"))
+    """Rows of ``docs`` that are not contaminated, with all their columns, whatever their names.
+
+    Null and empty texts have no words and stay; repeated rows stay or go together.
+    """
+    key = F.unhex(F.md5(docs["text"]))
     texts = docs.select(key.alias("doc_id"), "text")
     found = contamination(texts, items, window, percent).where("contaminated").select("doc_id").distinct()
     lost = small(materialise(found.withColumnRenamed("doc_id", "_lost"), "lost"))
-    return docs.join(lost, key == F.col("_lost"), "left_anti")
+    return docs.join(lost, key == lost["_lost"], "left_anti")

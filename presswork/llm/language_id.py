@@ -178,7 +178,8 @@ def identify(
         for texts in batches:
             names, scores, rejected = [], [], []
             for text in texts:
-                at = subwords(text, known) if langs else ()
+                # Marks alone are no letters.
+                at = subwords(text, known) if langs and any(map(str.isalpha, text or "")) else ()
                 if not len(at):
                     names.append(UNKNOWN), scores.append(0.0), rejected.append(True)
                     continue

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from bisect import bisect_right
@@ -34,6 +35,7 @@ DATE = "2024-01-01T00:00:00Z"
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID_PREFIX = "urn:page:"
+RAW_URL = "X-Page-URL"
 _MANIFEST = "file string, shard int, part int, records long, bytes long, sha256 string"
 
 
@@ -80,7 +82,19 @@ def _header(fields: list[tuple[str, object]]) -> bytes:
 
 
 def _uri(url: str | None) -> str | None:
-    return None if url is None else quote(url, safe="".join(map(chr, range(33, 37))) + "&'()*+,-./:;=?@[]_~!|^`{}\\<>\"")
+    """The url with what no URI may hold escaped; escapes that are there already stay."""
+    if url is None:
+        return None
+    return quote(re.sub("%(?![0-9A-Fa-f]{2})", "%25", url), safe="".join(map(chr, range(33, 39))) + "'()*+,-./:;=?@[]_~!|^`{}\\<>\"")
+
+
+def _record_id(page_id: int | None, digest: str, number: int) -> str:
+    """Unique by page, payload and place among the rows equal in both."""
+    return f"<{ID_PREFIX}{'' if page_id is None else page_id}:{digest}:{number}>"
+
+
+def _page_of(record_id: str) -> str | None:
+    return record_id.strip("<>").removeprefix(ID_PREFIX).split(":")[0] or None
 
 
 def response_block(payload_bytes: int, payload: bytes) -> bytes:
@@ -88,15 +102,23 @@ def response_block(payload_bytes: int, payload: bytes) -> bytes:
     return head.encode() + payload
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, size: int, digest: str, refers_to: int | None, date: str) -> bytes:
-    """One record as a gzip member; a revisit keeps the HTTP header and leaves out the payload."""
+def record(
+    page_id: int | None, url: str | None, payload: bytes, size: int, digest: str, refers_to: int | None, date: str, number: int = 0
+) -> bytes:
+    """One record as a gzip member; a revisit keeps the HTTP header and leaves out the payload.
+
+    ``number`` counts rows equal in id and payload. A url that its URI does not give back is kept
+    in a field of its own.
+    """
+    uri = _uri(url)
     block = response_block(size, payload)
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<{ID_PREFIX}{'' if page_id is None else page_id}>"),
-        ("WARC-Target-URI", _uri(url)),
+        ("WARC-Record-ID", _record_id(page_id, digest, number)),
+        ("WARC-Target-URI", uri),
+        (RAW_URL, None if url == uri else quote(url, safe="")),
         ("WARC-Date", date),
-        ("WARC-Refers-To", None if refers_to is None else f"<{ID_PREFIX}{refers_to}>"),
+        ("WARC-Refers-To", None if refers_to is None else _record_id(refers_to, digest, 0)),
         ("WARC-Profile", None if refers_to is None else PROFILE),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}"),
@@ -199,9 +221,11 @@ def write_archive(
     store.create_dir(folder, recursive=True)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current = None
+        current, same, number = None, None, 0
         for batch in batches:
             for row in batch.itertuples(index=False):
+                number = number + 1 if same == (row.id_text, row.sha1) else 0
+                same = (row.id_text, row.sha1)
                 if current is None or current.shard != row.shard:
                     if current is not None:
                         current.close()
@@ -211,7 +235,7 @@ def write_archive(
                 page_id = None if row.id_text is None else int(row.id_text)
                 refers_to = None if row.refers_to is None else int(row.refers_to)
                 payload = b"" if row.payload is None else row.payload.encode()
-                current.add(record(page_id, row.url, payload, int(row.size), digest, refers_to, date))
+                current.add(record(page_id, row.url, payload, int(row.size), digest, refers_to, date, number))
         if current is not None:
             current.close()
             yield pd.DataFrame(current.done, columns=names)
@@ -257,10 +281,10 @@ def parse_record(data: bytes) -> tuple | None:
     response = fields["WARC-Type"] == "response"
     if response and (size != len(payload) or digest != base32_sha1(payload)):
         raise ValueError(f"damaged payload {fields['WARC-Record-ID']}")
-    ids = [fields.get(name, "").strip("<>").removeprefix(ID_PREFIX) or None for name in ("WARC-Record-ID", "WARC-Refers-To")]
-    url = fields.get("WARC-Target-URI")
+    ids = [_page_of(fields.get(name, "")) for name in ("WARC-Record-ID", "WARC-Refers-To")]
+    url = unquote(fields[RAW_URL]) if RAW_URL in fields else fields.get("WARC-Target-URI")
     return (
-        ids[0], None if url is None else unquote(url), fields["WARC-Type"], ids[1], size, digest,
+        ids[0], url, fields["WARC-Type"], ids[1], size, digest,
         payload if response else None,
     )
 
