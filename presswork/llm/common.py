@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.operators.skew import broadcast_if_small
-from presswork.session import materialise
+from presswork.session import discard, materialise
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words are runs of anything but ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 512
 CACHED_WORDS = 500_000
-SMALL_ROWS = 50_000
+SMALL_ROWS = 1_000_000
 SMALL_BYTES = 8 * 1024 * 1024
 
 
@@ -51,7 +51,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if its counted size is below ``SMALL_ROWS`` and ``SMALL_BYTES``."""
+    """Marked for broadcast if its counted size is within ``SMALL_BYTES``, and ``SMALL_ROWS``."""
     return broadcast_if_small(df, SMALL_ROWS, SMALL_BYTES)
 
 
@@ -89,10 +89,12 @@ def components(links: DataFrame) -> DataFrame:
         lowest = materialise(lowest.select(F.col("a").alias("b"), F.least("a", "m").alias("m")), "lowest")
         larger = edges.join(lowest, "b").select("a", F.col("m").alias("b")).where("a <> b").distinct()
         larger = materialise(larger, "larger")
+        done = [edges, lowest, larger]
         lowest = materialise(larger.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         smaller = larger.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = smaller.where("a <> b").unionByName(lowest.select("a", F.col("m").alias("b")))
         edges = materialise(stars.distinct(), "links")
+        discard(*done, lowest)
         now = _fingerprint(edges)
         if now == seen:
             break

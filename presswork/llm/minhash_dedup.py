@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presswork.llm.common import WordHashes, bounded_batches, components, mix64, small
-from presswork.session import materialise
+from presswork.operators.skew import global_rank
+from presswork.session import discard, materialise
 
 BANDS = 40
 BAND_ROWS = 5
@@ -170,27 +171,32 @@ def _both(pairs: DataFrame, table: DataFrame, value: str, test) -> DataFrame:
 def _block_links(members: DataFrame, heads: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
     """Links between components inside large buckets, enough of them to join what they join.
 
-    A bucket is cut into blocks of bounded rows and bytes, and each pair of blocks is one task's
-    group. Pairs of different components go through the same sequence of signature batches and
-    exact verification as elsewhere; a pair that meets in several buckets is compared in the
-    first only, and one whose components this task has joined already is left out.
+    Buckets that share documents form a crowd, so that a document is dealt out once however many
+    of its buckets are large. A crowd is cut into blocks of bounded rows and bytes, and each pair
+    of blocks is one task's group. Pairs of different components that meet in some bucket go
+    through the same sequence of signature batches and exact verification as elsewhere; one whose
+    components this task has joined already is left out.
     """
-    rows = members.join(heads, "id").join(sets, "id")
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("codes")).alias("bytes"))
+    stars = members.where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
+    crowds = materialise(components(stars), "crowds")
+    crowds = crowds.select(F.col("node").alias("id"), F.col("component").alias("crowd"))
+    rows = members.select("id", "component").distinct().join(crowds, "id", "left")
+    rows = rows.withColumn("crowd", F.coalesce("crowd", "id"))
+    rows = rows.join(heads, "id").join(sets, "id")
+    sizes = rows.groupBy("crowd").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("codes")).alias("bytes"))
     n_blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1)).cast("int")
-    sizes = materialise(sizes.select("bucket", n_blocks.alias("n_blocks")), "sizes")
-    cut = rows.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
+    sizes = materialise(sizes.select("crowd", n_blocks.alias("n_blocks")), "sizes")
+    cut = rows.join(sizes, "crowd").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     cut = cut.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
     steps = least_matches(percent / 100, miss)
 
     def compare(key, part: pd.DataFrame) -> pd.DataFrame:
-        bucket, lo, hi = key
+        _, lo, hi = key
         ids, comps, block = part["id"].to_numpy(), part["component"].to_numpy(), part["block"].to_numpy()
         bands = np.stack(part["buckets"].to_numpy())
         sigs = np.frombuffer(b"".join(part["sig"]), np.uint16).reshape(len(part), -1)
         codes = [np.frombuffer(c, np.uint64) for c in part["codes"]]
-        band = int(np.nonzero(bands[0] == bucket)[0][0])
         here = np.nonzero(block == hi)[0]
         joined: dict[int, int] = {}
 
@@ -203,7 +209,7 @@ def _block_links(members: DataFrame, heads: DataFrame, sets: DataFrame, percent:
         for i in np.nonzero(block == lo)[0]:
             others = here[here > i] if lo == hi else here
             others = others[comps[others] != comps[i]]
-            others = others[(bands[others] == bands[i]).argmax(axis=1) == band]
+            others = others[(bands[others] == bands[i]).any(axis=1)]
             matches = np.zeros(len(others), int)
             for n, least in steps:
                 matches += (sigs[others, n - BATCH : n] == sigs[i, n - BATCH : n]).sum(axis=1)
@@ -218,8 +224,8 @@ def _block_links(members: DataFrame, heads: DataFrame, sets: DataFrame, percent:
                     found.append((ids[i], ids[j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    columns = ["bucket", "lo", "hi", "block", "id", "component", "buckets", "sig", "codes"]
-    return cut.select(*columns).groupBy("bucket", "lo", "hi").applyInPandas(compare, "a long, b long")
+    columns = ["crowd", "lo", "hi", "block", "id", "component", "buckets", "sig", "codes"]
+    return cut.select(*columns).groupBy("crowd", "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -243,32 +249,38 @@ def near_duplicates(
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    scratch: list[DataFrame] = []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(materialise(df, name))
+        return scratch[-1]
+
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = materialise(_sign(texts, words, seed), "signatures")
+    signed = written(_sign(texts, words, seed), "signatures")
     named = signed.where("key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = materialise(named.groupBy("key").agg(F.min("doc_id").alias("id")), "classes")
+    classes = written(named.groupBy("key").agg(F.min("doc_id").alias("id")), "classes")
     heads = named.select(F.col("doc_id").alias("id"), "key", "buckets", "sig").join(classes, ["id", "key"])
-    heads = materialise(heads.dropDuplicates(["id", "key"]).select("id", "buckets", "sig"), "heads")
+    heads = written(heads.dropDuplicates(["id", "key"]).select("id", "buckets", "sig"), "heads")
     placed = heads.select("id", F.explode("buckets").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("id").alias("head"), F.max("id").alias("last"))
-    shared = materialise(shared.where("head < last").select("bucket", "head"), "buckets")
-    met = materialise(placed.join(shared, "bucket"), "met")
+    shared = written(shared.where("head < last").select("bucket", "head"), "buckets")
+    met = written(placed.join(shared, "bucket"), "met")
 
     survives, similar = _survives(percent / 100, miss), _similar(percent)
     sigs = heads.select("id", "sig")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        alive = materialise(_both(pairs, sigs, "sig", survives), "alive")
+        alive = written(_both(pairs, sigs, "sig", survives), "alive")
         ids = alive.select(F.col("a").alias("doc_id")).union(alive.select("b")).distinct()
-        ids = materialise(ids, "ids")
+        ids = written(ids, "ids")
         needed = texts.join(small(ids), "doc_id", "left_semi")
-        sets = materialise(_sets(needed, words), "sets")
+        sets = written(_sets(needed, words), "sets")
         return _both(alive, sets, "codes", similar)
 
     first = met.where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
-    first = materialise(first, "pairs")
-    links = materialise(verified(first), "linked")
-    found = materialise(components(links), "components")
+    first = written(first, "pairs")
+    links = written(verified(first), "linked")
+    found = written(components(links), "components")
 
     # Buckets that still hold several components. In a small one the pairs left are few; in a
     # large one they are compared in blocks inside tasks, and only links leave the task.
@@ -277,32 +289,34 @@ def near_duplicates(
     mixed = placed.groupBy("bucket").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
     )
-    mixed = materialise(mixed.where("low < high").select("bucket", "members"), "mixed")
-    placed = materialise(placed.select("bucket", "id", "component").join(mixed, "bucket"), "apart")
+    mixed = written(mixed.where("low < high").select("bucket", "members"), "mixed")
+    placed = written(placed.select("bucket", "head", "id", "component").join(mixed, "bucket"), "apart")
 
     few = placed.where(F.col("members") <= FEW)
     left = few.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
     right = few.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
     across = left.join(right, "bucket").where("a < b AND ca <> cb").select("a", "b").distinct()
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = materialise(across.join(tried, ["a", "b"], "left_anti"), "pairs")
-    late = [materialise(verified(across), "linked")]
+    across = written(across.join(tried, ["a", "b"], "left_anti"), "pairs")
+    late = [written(verified(across), "linked")]
 
     many = placed.where(F.col("members") > FEW)
-    ids = materialise(many.select(F.col("id").alias("doc_id")).distinct(), "ids")
+    ids = written(many.select(F.col("id").alias("doc_id")).distinct(), "ids")
     if not ids.isEmpty():
-        sets = materialise(_sets(texts.join(small(ids), "doc_id", "left_semi"), words), "sets")
-        late.append(materialise(_block_links(many, heads, sets, percent, miss), "linked"))
+        sets = written(_sets(texts.join(small(ids), "doc_id", "left_semi"), words), "sets")
+        late.append(written(_block_links(many, heads, sets, percent, miss), "linked"))
     for more in late:
         if not more.isEmpty():
             links = links.unionByName(more)
             found = None
-    found = materialise(components(links), "components") if found is None else found
+    found = written(components(links), "components") if found is None else found
 
     side = found.select(F.col("node").alias("id"), "component")
     grouped = classes.join(side, "id", "left").select("key", F.coalesce("component", "id").alias("component"))
     grouped = materialise(grouped, "groups")
-    out = signed.select("doc_id", "n_shingles", "key").join(grouped, "key", "left")
+    rows = materialise(signed.select("doc_id", "n_shingles", "key"), "rows")
+    discard(*scratch)
+    out = rows.join(grouped, "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
@@ -324,3 +338,22 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
     once = stay.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
     return stay.join(repeated, id_col, "left_anti").unionByName(once)
 
+
+def drop_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group of near copies, with all columns.
+
+    Rows without words, null texts among them, and rows without an id stay. Where rows share an
+    id, each counts for itself: they are numbered in order of id and text, and the group's first
+    stays, so that no text goes that is not a copy.
+    """
+    counts = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1")
+    if counts.isEmpty():
+        return keep_one(docs, near_duplicates(docs, words, percent, id_col, text_col), id_col)
+    held = docs.select(
+        F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"),
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"),
+    )
+    named = global_rank(held.where("_id IS NOT NULL"), ["_id", "_hash"])
+    kept = keep_one(named, near_duplicates(named, words, percent, "rank", "_text"), "rank").select("_doc")
+    every = kept.unionByName(held.where("_id IS NULL").select("_doc"))
+    return every.select(*[F.col("_doc").getField(name).alias(name) for name in docs.columns])
