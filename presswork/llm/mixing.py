@@ -9,6 +9,7 @@ is the packed text of every slot's block.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -101,8 +102,8 @@ def _counted(sources: DataFrame, n: str, alias: str) -> DataFrame:
     return spread.withColumn(alias, F.explode(F.sequence("_run", last))).drop("_run")
 
 
-def _packed_blocks(placed: DataFrame, block_words: int) -> DataFrame:
-    """``sidx, block, n_words, text`` from ``sidx, start, size, text``.
+def _packed_blocks(placed: DataFrame, block_words: int, drawn: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``sidx, block, n_words, text`` from ``sidx, start, size, text``, of the blocks that ``drawn`` keeps.
 
     Documents are cut at block borders first, so that only pieces of one block, at most
     ``block_words`` of them, are brought together.
@@ -118,7 +119,7 @@ def _packed_blocks(placed: DataFrame, block_words: int) -> DataFrame:
         return F.struct(block.alias("block"), at.cast("int").alias("at"), n.cast("int").alias("n"), text.alias("text"))
 
     numbers = F.sequence(F.floor(start / block_words), F.floor((start + size - 1) / block_words))
-    pieces = once.select("sidx", F.inline(F.transform(numbers, piece)))
+    pieces = drawn(once.select("sidx", F.inline(F.transform(numbers, piece))))
     blocks = pieces.groupBy("sidx", "block").agg(
         F.sum("n").cast("int").alias("n_words"), F.array_sort(F.collect_list(F.struct("at", "text"))).alias("_pieces")
     )
@@ -193,7 +194,17 @@ def _mix(
     numbered = sources.select("sidx", "n_blocks", "n_slots")
     blocks = _counted(numbered, "n_blocks", "block").withColumn("hash", F.xxhash64(F.lit(seed), "sidx", "block"))
     dealt = F.pmod("hash", F.greatest(F.lit(1), F.floor(F.col("n_blocks") / BUCKET_ROWS)))
-    permuted = _ranked(blocks, dealt, ["hash", "block"], F.lit(1), "index").select("sidx", "index", "block")
+    place = F.struct(dealt.alias("bucket"), F.col("hash"), F.col("block"))
+    ranked = _ranked(blocks, dealt, ["hash", "block"], F.lit(1), "index").withColumn("place", place)
+    permuted = ranked.select("sidx", "index", "block")
+    # A block comes in the order of its place; the last that a slot draws tells whether a piece is
+    # of use at all. Sources without slots are not in the table: a row per source.
+    final = ranked.where(F.col("index") == F.least("n_slots", "n_blocks") - 1).select("sidx", "n_blocks", F.col("place").alias("_last"))
+    final = small(materialise(final, "last_drawn"))
+
+    def drawn_pieces(pieces: DataFrame) -> DataFrame:
+        hashed = pieces.withColumn("hash", F.xxhash64(F.lit(seed), "sidx", "block")).join(final, "sidx")
+        return hashed.where(place <= F.col("_last")).select(*pieces.columns)
 
     drawn = _counted(numbered, "n_slots", "slot").select(
         "sidx",
@@ -218,7 +229,7 @@ def _mix(
     )
     wordless = named.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     documents = taken.select(*columns, "taken").unionByName(wordless.select(*columns, "taken"))
-    blocks = slots.join(_packed_blocks(placed, block_words).hint("merge"), ["sidx", "block"])
+    blocks = slots.join(_packed_blocks(placed, block_words, drawn_pieces).hint("merge"), ["sidx", "block"])
     blocks = blocks.join(small(sources.select("sidx", "source")), "sidx")
     blocks = blocks.select("shard", "sidx", "source", "slot", "block", "n_words", "text")
     return Mix(documents, slots, slots.groupBy("shard", "sidx").agg(F.count(F.lit(1)).alias("n_slots")), blocks)
@@ -250,6 +261,8 @@ def mixed_documents(docs: DataFrame, seed: int = 23, **options) -> DataFrame:
     )
     copies = copies.groupBy("doc_id").agg(F.max("_copies").alias("_copies"))
     copies = materialise(copies.where("_copies <> 1"), "copies")
-    out = docs.join(small(copies), "doc_id", "left")
+    # One struct, so that no column of the documents can clash with ours.
+    held = docs.select(F.col("doc_id").alias("_id"), F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"))
+    out = held.join(small(copies.withColumnRenamed("doc_id", "_id")), "_id", "left")
     times = F.explode(F.array_repeat(F.lit(0), F.coalesce("_copies", F.lit(1))))
-    return out.withColumn("_copy", times).select(*[docs[name] for name in docs.columns])
+    return out.select("_doc", times.alias("_copy")).select(*[F.col("_doc").getField(name).alias(name) for name in docs.columns])
