@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from presswork.llm import decontamination, minhash_dedup, mixing, sharding, toxicity
 from presswork.llm.queries import table
-from presswork.session import materialise
+from presswork.session import discard, materialise
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,7 +16,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    return minhash_dedup.keep_one(docs, minhash_dedup.near_duplicates(docs, words=5, percent=80))
+    return minhash_dedup.drop_copies(docs, words=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,6 +49,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each result is written and read by the next stage."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        kept = materialise(stage(spark, docs, sf_dir), name)
+        if k:
+            discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
