@@ -60,14 +60,18 @@ def usable_pages(extracted: DataFrame) -> DataFrame:
     return extracted.where(reason.isNull())
 
 
-def one_per_url(pages: DataFrame) -> DataFrame:
-    """One page per ``naver_url``, the same one on every run, so that a join adds no rows."""
-    fields = [c for c in pages.columns if c != "naver_url"]
-    return (
-        pages.groupBy("naver_url")
-        .agg(F.min(F.struct(*fields)).alias("_page"))
-        .select("naver_url", "_page.*")
-    )
+def one_per_url(pages: DataFrame, fetched: str = "fetched_at") -> DataFrame:
+    """One page per ``naver_url``, the same one on every run, so that a join adds no rows.
+
+    The page fetched last wins, if there is a column ``fetched`` (a page without a time loses to
+    any with one); it is not kept. Ties, and pages without that column, go to the smallest fields.
+    """
+    page = F.struct(*[c for c in pages.columns if c not in ("naver_url", fetched)]).alias("page")
+    order = []
+    if fetched in pages.columns:
+        order = [F.col(fetched).isNull().alias("unknown"), (-F.unix_micros(F.col(fetched).cast("timestamp"))).alias("age")]
+    best = F.min(F.struct(*order, page)).alias("_best")
+    return pages.groupBy("naver_url").agg(best).select("naver_url", "_best.page.*")
 
 
 def combine(items: DataFrame, pages: DataFrame, hot_rows: int = skew.HOT_ROWS) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from presswork import settings as S
@@ -170,10 +170,31 @@ def unmatched(updates: DataFrame, articles: DataFrame) -> DataFrame:
     return updates.join(known, "article_id", "left_anti")
 
 
-def apply_scores(articles: DataFrame, updates: DataFrame, asof: Column) -> DataFrame:
+def update_outcomes(updates: DataFrame, articles: DataFrame) -> DataFrame:
+    """Each update (one per article) with what becomes of it.
+
+    ``no_id``, ``not_found`` (no such article), ``already_processed`` (it has a score) or
+    ``updated``. An id in ``articles`` is unique; an empty id counts as none.
+    """
+    stored = articles.select(
+        F.col("id").cast("string").alias("article_id"), F.col("clickbait_score").isNotNull().alias("_scored")
+    )
+    outcome = (
+        F.when(F.coalesce("article_id", F.lit("")) == "", "no_id")
+        .when(F.col("_scored").isNull(), "not_found")
+        .when(F.col("_scored"), "already_processed")
+        .otherwise("updated")
+    )
+    return updates.join(stored, "article_id", "left").withColumn("outcome", outcome).drop("_scored")
+
+
+def apply_scores(
+    articles: DataFrame, updates: DataFrame, asof: Column, totals: Observation | None = None
+) -> DataFrame:
     """Articles with the scores of ``updates`` (one per article) where none was stored.
 
     One join does both the idempotency check and the update. Other columns stay as they are.
+    ``totals`` observes ``updated`` and ``already_processed`` when the result is computed.
     """
     fresh = updates.select(
         F.col("article_id").alias("_article_id"),
@@ -182,6 +203,12 @@ def apply_scores(articles: DataFrame, updates: DataFrame, asof: Column) -> DataF
     )
     joined = articles.join(fresh, F.col("id").cast("string") == F.col("_article_id"), "left")
     take = F.col("clickbait_score").isNull() & F.col("_score").isNotNull()
+    if totals is not None:
+        joined = joined.observe(
+            totals,
+            F.count_if(take).alias("updated"),
+            F.count_if(F.col("_article_id").isNotNull() & ~take).alias("already_processed"),
+        )
     stored = {field.name: field.dataType for field in articles.schema}
     new = {
         "clickbait_score": F.col("_score").cast(stored["clickbait_score"]),

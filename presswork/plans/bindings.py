@@ -6,7 +6,7 @@ read the whole source table, but for ``news_pages``, in which the pages of some
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import settings as S
@@ -29,7 +29,16 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     score = F.expr("cast((n_chars * 31 + quality * 7 + toxic * 13 + doc_id) % 101 as int)")
     joined = docs.join(labels.withColumn("labelled", F.lit(True)), "doc_id", "left")
-    return joined.select(
+    return _as_articles(joined, F.when(F.col("labelled"), score), F.when(F.col("labelled"), F.lit("stored")))
+
+
+def unscored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same articles with neither score nor the join that it takes."""
+    return _as_articles(table(spark, sf_dir, "documents"), F.lit(None).cast("int"), F.lit(None).cast("string"))
+
+
+def _as_articles(docs: DataFrame, score: Column, explanation: Column) -> DataFrame:
+    return docs.select(
         F.col("doc_id").alias("id"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("content"),
@@ -37,8 +46,8 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
             "case n_chars % 11 when 0 then '' when 1 then '익명' else concat('j', n_chars % 11) end"
         ).alias("journalist_name"),
         F.expr("concat('press', n_chars % 7)").alias("publisher"),
-        F.when(F.col("labelled"), score).alias("clickbait_score"),
-        F.when(F.col("labelled"), F.lit("stored")).alias("clickbait_explanation"),
+        score.alias("clickbait_score"),
+        explanation.alias("clickbait_explanation"),
         F.expr(
             "timestamp_ntz'2024-01-01 00:00:00' + "
             "make_dt_interval(0, 0, 0, cast(doc_id * 60 as decimal(18, 6)))"
@@ -73,13 +82,13 @@ _LINK_SQL = (
 )
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed(spark: SparkSession, sf_dir: str, scored: bool = True) -> DataFrame:
     """Articles in feed order, newest first, with one row in 97 three days late."""
+    rows = articles(spark, sf_dir) if scored else unscored_articles(spark, sf_dir)
     late = "case when id % 97 = 50 then 3 * 86400 else 0 end"
     words = ", ".join(f"'{w}'" for w in S.DEFAULT_KEYWORDS)
     return (
-        articles(spark, sf_dir)
-        .withColumn("position", F.col("id"))
+        rows.withColumn("position", F.col("id"))
         .withColumn("link", F.expr(_LINK))
         .withColumn("naver_url", normalize_url(F.col("link")))
         .withColumn(
@@ -111,7 +120,7 @@ feed AS (SELECT *, regexp_replace(replace(regexp_replace(link, '[?#].*$', ''),
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search items: marked-up titles, some foreign links, publication time as text."""
     stamp = F.date_format("local_at", "EEE, dd MMM yyyy HH:mm:ss")
-    return feed(spark, sf_dir).select(
+    return feed(spark, sf_dir, scored=False).select(
         "id",
         "position",
         "keyword",
@@ -162,7 +171,7 @@ def every_page(spark: SparkSession, sf_dir: str) -> DataFrame:
         + escaped("content")
         + ", '</div><style>p{}</style><div></div></div><div>tail</div></body></html>')"
     )
-    return feed(spark, sf_dir).select("id", "naver_url", F.expr(html).alias("html"))
+    return feed(spark, sf_dir, scored=False).select("id", "naver_url", F.expr(html).alias("html"))
 
 
 def news_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,9 +186,9 @@ def sql_strip(column: str) -> str:
     return f"trim({column}, {_SPACES})"
 
 
-def sql_clean(column: str) -> str:
-    collapsed = f"regexp_replace({column}, '\\n{{2,}}', chr(10), 'g')"
-    return f"substr({sql_strip(collapsed)}, 1, {S.MAX_CONTENT_LENGTH})"
+def sql_clean(column: str, limit: int | None = S.MAX_CONTENT_LENGTH) -> str:
+    whole = sql_strip(f"regexp_replace({column}, '\\n{{2,}}', chr(10), 'g')")
+    return whole if limit is None else f"substr({whole}, 1, {limit})"
 
 
 NEWS_PAGES = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import astuple
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,12 @@ from pyspark.sql import functions as F
 from presswork import schemas
 from presswork import settings as S
 from presswork.functions import dates, html, records, text, validation
-from presswork.operators import dedup, feed, journalists, scoring, stats
+from presswork.operators import dedup, feed, journalists, keywords, scoring, stats
 from presswork.plans import bindings as B
 from presswork.plans import jobs
 from presswork.plans.bindings import sql_clean, sql_strip
 from presswork.session import materialise, new_path
-from presswork.sources import jsonl, responses, tables
+from presswork.sources import jsonl, responses, tables, url_index
 from presswork.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -384,6 +385,15 @@ def content_clean(spark, sf):
     return B.articles(spark, sf).select("id", text.clean_content(spaced).alias("content"))
 
 
+@query(
+    f"""WITH {B.ART}, c AS (SELECT id, replace(content, '.' || chr(10), '.' || chr(10) || chr(10)) || chr(10)
+      AS t FROM art) SELECT id, {sql_clean('t', None)} AS content FROM c"""
+)
+def content_clean_full(spark, sf):
+    spaced = F.expr("concat(replace(content, '.\n', '.\n\n'), '\n')")
+    return B.unscored_articles(spark, sf).select("id", text.clean_content(spaced, None).alias("content"))
+
+
 def _sql_entities(column: str) -> str:
     bare = f"regexp_replace({column}, '&[^;]+;', '', 'g')"
     return f"regexp_replace({bare}, '(?s)<!--.*?-->|</?[a-zA-Z][^>]*>|<[!?][^>]*>', '', 'g')"
@@ -434,6 +444,15 @@ def prompt_render(spark, sf):
     )
 
 
+@query(
+    f"""WITH {B.ART} SELECT id, '제목: ' || {sql_strip('title')} || chr(10) || '본문: ' || {sql_strip('content')}
+    AS prompt FROM art"""
+)
+def prompt_render_full(spark, sf):
+    prompt = text.render_prompt(F.col("title"), F.col("content"), "제목: {title}\n본문: {content}", None)
+    return B.unscored_articles(spark, sf).select("id", prompt.alias("prompt"))
+
+
 @query(
     f"""WITH {B.ART} SELECT id, len(regexp_extract_all(content, 'the|and|der|que|les|SNS')) AS body_cues,
     len(regexp_extract_all(title, '온라인 커뮤니티|네티즌들은|화들짝|SNS|논란|충격|경악|발칵|깜짝|화제')) AS title_cues,
@@ -459,6 +478,19 @@ def keyword_match(spark, sf):
     return feed.keyword_matches(B.articles(spark, sf), B.CUE_WORDS, "content")
 
 
+@query(
+    f"""WITH {B.ART}, w AS (SELECT string_split(text, ' ') AS w FROM benchmark),
+    pairs AS (SELECT DISTINCT w[i] || ' ' || w[i + 1] AS keyword FROM w, unnest(range(1, len(w))) r(i))
+    SELECT id, keyword FROM art JOIN pairs ON contains(title, keyword)"""
+)
+def keyword_match_table(spark, sf):
+    """Every two neighbouring words of the benchmark texts are a keyword."""
+    words = B.table(spark, sf, "benchmark").select(F.split("text", " ").alias("w"))
+    places = F.expr("transform(slice(w, 1, size(w) - 1), (word, i) -> concat(word, ' ', w[i + 1]))")
+    pairs = words.where("size(w) > 1").select(F.explode(places).alias("keyword"))
+    return keywords.table_matches(B.unscored_articles(spark, sf), pairs)
+
+
 _WHITELIST = "[가-힣a-zA-Z0-9\\s.,''\"\\-+?!/()\\[\\]{}:;&%@#*^$_=~`\\\\]+"
 
 
@@ -513,6 +545,24 @@ def html_extract(spark, sf):
     )
 
 
+@query(
+    f"""WITH p AS (SELECT page_id, {_MARKUP} AS m FROM pages)
+    SELECT page_id, {sql_strip(_field('h1'))} AS title, {sql_strip(_field('footer'))} AS publisher,
+      {sql_clean(_field('article'), None)} AS content FROM p"""
+)
+def html_extract_full(spark, sf):
+    pages = B.table(spark, sf, "pages")
+    extracted = feed.extract_pages(
+        pages, [html.Rule("h1")], [html.Rule("footer")], [html.Rule("article")], limit=None
+    )
+    return extracted.select(
+        "page_id",
+        F.col("page_title").alias("title"),
+        F.col("page_publisher").alias("publisher"),
+        F.col("page_content").alias("content"),
+    )
+
+
 @query(
     f"""WITH {B.NEWS_PAGES} SELECT naver_url, page_title, page_publisher, page_reporter, page_content
     FROM news_pages"""
@@ -798,6 +848,22 @@ def url_exists_flag(spark, sf):
     return dedup.url_flags(links, _stored(spark, sf))
 
 
+_ASKED_SQL = f"""WITH {B.FEED}, {_STORED_SQL}, days AS (SELECT max(CAST(local_at AS DATE)) AS day FROM feed)
+    SELECT DISTINCT link AS url, f.naver_url, k.naver_url IS NOT NULL AS "exists"
+    FROM feed f JOIN days ON CAST(local_at AS DATE) = day LEFT JOIN known k ON f.naver_url = k.naver_url"""
+
+
+@query(_ASKED_SQL)
+def url_exists_indexed(spark, sf):
+    """The links of the newest day against the side table of all stored URLs."""
+    path = new_path(spark, "stored-urls")
+    url_index.append(B.feed(spark, sf, scored=False).where("id % 3 = 0").select("naver_url").distinct(), path, 64)
+    rows = B.feed(spark, sf, scored=False).withColumn("day", F.to_date("local_at"))
+    newest = rows.join(F.broadcast(rows.agg(F.max("day").alias("day"))), "day")
+    links = materialise(newest.select(F.col("link").alias("url"), "naver_url"), "asked-urls")
+    return dedup.url_flags(links, url_index.among(links, path, 64))
+
+
 @query(
     f"""WITH {B.FEED}, {_STORED_SQL} SELECT position, naver_url, title FROM feed
     WHERE naver_url NOT IN (SELECT naver_url FROM known)"""
@@ -1120,6 +1186,26 @@ def score_unmatched(spark, sf):
     return scoring.unmatched(updates, B.articles(spark, sf)).select("article_id", "score")
 
 
+_OUTCOME_ID = "case when cast(article_id as bigint) % 7 = 0 then null " + (
+    "when cast(article_id as bigint) % 4 = 0 then concat('x', article_id) else article_id end"
+)
+_UPDATE_OUTCOMES_SQL = f"""{B.ART}, {_UPDATES}, shifted AS (SELECT pos, {_OUTCOME_ID} AS article_id, score FROM updates),
+    labelled AS (SELECT s.article_id, s.score, CASE WHEN s.article_id IS NULL THEN 'no_id'
+      WHEN a.id IS NULL THEN 'not_found' WHEN a.clickbait_score IS NOT NULL THEN 'already_processed'
+      ELSE 'updated' END AS outcome
+      FROM shifted s LEFT JOIN art a ON CAST(a.id AS VARCHAR) = s.article_id)"""
+
+
+def _shifted_updates(spark, sf):
+    return _updates(spark, sf).withColumn("article_id", F.expr(_OUTCOME_ID))
+
+
+@query(f"WITH {_UPDATE_OUTCOMES_SQL} SELECT article_id, score, outcome FROM labelled")
+def update_outcomes(spark, sf):
+    labelled = scoring.update_outcomes(_shifted_updates(spark, sf), B.articles(spark, sf))
+    return labelled.select("article_id", "score", "outcome")
+
+
 _LIVE_SQL = f"""WITH {B.ART}, {_UPDATES}, {B.BATCHES}, live AS (SELECT u.* FROM updates u
       JOIN res r USING (pos) WHERE r.batch_id NOT IN (SELECT batch_id FROM batches
       WHERE status = 'completed'))
@@ -1150,6 +1236,19 @@ def job_apply_results(spark, sf):
     return _applied_columns(tables.read_table(spark, path))
 
 
+@query(
+    f"""WITH {_UPDATE_OUTCOMES_SQL} SELECT count(*) FILTER (WHERE outcome = 'updated') AS updated,
+    count(*) FILTER (WHERE outcome = 'already_processed') AS already_processed,
+    count(*) FILTER (WHERE outcome = 'not_found') AS not_found,
+    count(*) FILTER (WHERE outcome = 'no_id') AS no_id FROM labelled"""
+)
+def job_update_totals(spark, sf):
+    """The totals that a run of score updates gathers while it writes."""
+    totals = jobs.save_scores(_article_table(spark, sf), _shifted_updates(spark, sf), F.expr(_APPLIED_AT))
+    kind = "updated long, already_processed long, not_found long, no_id long"
+    return spark.createDataFrame([astuple(totals)], kind)
+
+
 @query(_LIVE_SQL)
 def stream_score_apply(spark, sf):
     """The lines come in two pieces that part a batch."""
@@ -1182,6 +1281,16 @@ def update_cleanse(spark, sf):
     return scoring.cleanse_updates(B.table(spark, sf, "events").selectExpr(*_CLEANSE))
 
 
+@query(
+    f"""WITH u AS (SELECT {', '.join(_CLEANSE)} FROM events)
+    SELECT article_id, CAST(round_even(score, 0) AS INTEGER) AS score,
+      coalesce(nullif(trim(explanation), ''), '자동 생성된 점수') AS explanation
+    FROM u WHERE article_id IS NOT NULL AND score BETWEEN 0 AND 100"""
+)
+def update_cleanse_full(spark, sf):
+    return scoring.cleanse_updates(B.table(spark, sf, "events").selectExpr(*_CLEANSE), None)
+
+
 @query(
     f"""WITH {B.FEED} SELECT id, 7 + (CASE WHEN clickbait_score IS NULL THEN 0 ELSE 2 END) AS n_fields,
     title, content, CAST(clickbait_score AS VARCHAR) AS score,

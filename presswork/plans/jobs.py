@@ -6,14 +6,14 @@ import uuid
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import schemas
 from presswork import settings as S
 from presswork.operators import dedup, feed, journalists, scoring, skew, stats
 from presswork.session import materialise, new_path
-from presswork.sources import jsonl, partitions, tables
+from presswork.sources import jsonl, partitions, tables, url_index
 
 
 @dataclass
@@ -85,12 +85,26 @@ def admit(
     )
 
 
+def stored_among(items: DataFrame, urls_path: str, articles_path: str) -> DataFrame:
+    """Stored URLs to ingest ``items`` against, from the side table of URLs.
+
+    What an ingest that stopped left open is completed first.
+    """
+    url_index.recover(items.sparkSession, urls_path, articles_path)
+    return url_index.among(feed.news_links(items).select("naver_url"), urls_path)
+
+
 def save_ingest(
-    result: IngestResult, articles_path: str, journalists_path: str, asof: Column | None = None
+    result: IngestResult,
+    articles_path: str,
+    journalists_path: str,
+    asof: Column | None = None,
+    urls_path: str | None = None,
 ) -> None:
     """Append journalists, then articles, with every column of their tables.
 
     ``asof`` (now, if not given) is their ``created_at`` and ``updated_at``; scores are null.
+    ``urls_path`` is the side table of stored URLs, if there is one (see ``stored_among``).
 
     After a failure run the ingest again on the tables as they are: what was already written
     is found stored and not added twice.
@@ -100,7 +114,10 @@ def save_ingest(
     texts = tables.conform(result.new_articles.withColumns(times), schemas.ARTICLE)
     people, texts = materialise(people, "new-journalists"), materialise(texts, "new-articles")
     tables.append_journalists(people, journalists_path)
+    noted = None if urls_path is None else url_index.announce(texts, urls_path)
     tables.append_articles(texts, articles_path)
+    if urls_path is not None:
+        url_index.settle(texts.sparkSession, noted, urls_path)
 
 
 def build_requests(
@@ -150,27 +167,46 @@ def read_results(lines: DataFrame, articles: DataFrame, batches: DataFrame) -> A
     )
 
 
-def save_scores(articles_path: str, updates: DataFrame, asof: Column) -> None:
+@dataclass
+class UpdateTotals:
+    """What became of the updates of one run, one per article."""
+
+    updated: int
+    already_processed: int
+    not_found: int
+    no_id: int
+
+
+def save_scores(articles_path: str, updates: DataFrame, asof: Column) -> UpdateTotals:
     """Rewrite the days that hold an updated article; other days are not touched.
 
     The new days are staged first, so the table is never overwritten while it is read, and a
-    rerun finds the articles scored.
+    rerun finds the articles scored. The totals are gathered while the rows are written.
     """
     spark = updates.sparkSession
-    fresh = materialise(updates, "score-updates")
+    given, matched = Observation(), Observation()
+    counted = updates.observe(
+        given,
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.coalesce("article_id", F.lit("")) == "").alias("no_id"),
+    )
+    fresh = materialise(counted, "score-updates")
+    n, no_id = given.get["n"], given.get["no_id"]
     articles = tables.read_table(spark, articles_path)
     ids = skew.broadcast_if_small(fresh.select(F.col("article_id").alias("id")))
     days = articles.select(F.col("id").cast("string"), "local_date").join(ids, "id", "left_semi")
     # One value per calendar day.
     touched = [row.local_date for row in days.select("local_date").distinct().collect()]
     if not touched:
-        return
+        return UpdateTotals(0, 0, n - no_id, no_id)
     held = F.col("local_date").isin([day for day in touched if day is not None])
     part = articles.where(held | F.col("local_date").isNull() if None in touched else held)
     staged = materialise(
-        scoring.apply_scores(part, skew.broadcast_if_small(fresh), asof), "scored-days"
+        scoring.apply_scores(part, skew.broadcast_if_small(fresh), asof, matched), "scored-days"
     )
     tables.replace_days(staged, articles_path)
+    updated, already = matched.get["updated"], matched.get["already_processed"]
+    return UpdateTotals(updated, already, n - no_id - updated - already, no_id)
 
 
 @dataclass

@@ -32,6 +32,9 @@ JOURNALIST = T.StructType([
 #: The journalist table with its partition column.
 JOURNALIST_TABLE = T.StructType([*JOURNALIST, T.StructField("bucket", T.IntegerType())])
 
+#: The side table of stored URLs with its partition column.
+STORED_URL = T.StructType([T.StructField("naver_url", T.StringType()), T.StructField("bucket", T.IntegerType())])
+
 BATCH = T.StructType([
     T.StructField("batch_id", T.StringType(), False),
     T.StructField("status", T.StringType()),

@@ -73,3 +73,4 @@ PROMPT_TEMPLATE = (
 
 # --- defaults of this project: table layout ---------------------------------------------------------
 JOURNALIST_BUCKETS = 64
+URL_BUCKETS = 1024
