@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.records import content_key, digest
 from presswork.functions.text import normalize_url
 from presswork.operators import skew
+from presswork.operators.components import components
 from presswork.session import materialise
 
+#: Rounds of feed dedup before what is left is split into components.
+PLAIN_ROUNDS = 3
+#: Largest component that one task walks through: about 20 MB of keys.
+SOLVE_ROWS = 100_000
+
 RANK_COLUMNS = ["id", "clickbait_score", "created_at", "naver_url"]
 
 
@@ -175,13 +183,18 @@ def feed_dedup(
     scope: Sequence[str] = (),
     hot_rows: int = skew.HOT_ROWS,
     earlier: DataFrame | None = None,
+    plain_rounds: int = PLAIN_ROUNDS,
+    solve_rows: int = SOLVE_ROWS,
 ) -> DataFrame:
     """Keep a row iff no kept earlier row of its scope has its URL or its content.
 
     ``position`` is unique in the table and gives the feed order. The sequential rule equals
     a series of rounds: keep the rows that come first in both their URL group and their
-    content group, remove whatever shares either with them, repeat on the rest. ``earlier``
-    has the ``url`` and ``digest`` of rows kept before this feed, each once.
+    content group, remove whatever shares either with them, repeat on the rest. A long chain of
+    rows would take as many rounds as rows, so what ``plain_rounds`` rounds leave undecided is
+    split into connected components over both keys; the rule walks through each of at most
+    ``solve_rows`` rows in one task, and only larger ones go on in rounds. ``earlier`` has the
+    ``url`` and ``digest`` of rows kept before this feed, each once.
     """
     keys = feed_keys(feed, position, url, scope)
     if earlier is not None:
@@ -193,18 +206,42 @@ def feed_dedup(
             known = earlier.select(column).where(F.col(column).isNotNull())
             keys = skew.salted_join(keys, known, [column], "left_anti", spread=["pos"], hot_rows=hot_rows)
     rest = keys.groupBy("url", "digest").agg(F.min("pos").alias("pos"))
-    kept: DataFrame | None = None
+    kept, rest = _rounds(rest, hot_rows, plain_rounds)
+    if rest is not None:
+        parts = materialise(rest.join(components(rest, "pos", ["url", "digest"]), "pos"), "feed-parts")
+        sizes = parts.groupBy("part").count().where(F.col("count") > solve_rows).select("part")
+        large = materialise(sizes, "feed-large")
+        wide = skew.broadcast_if_small(large)
+        solved = parts.join(wide, "part", "left_anti").groupBy("part").applyInPandas(_walk, "pos long")
+        kept.append(materialise(solved, "feed-kept"))
+        if not large.isEmpty():
+            rest = parts.join(wide, "part", "left_semi").select("pos", "url", "digest")
+            kept += _rounds(rest, hot_rows)[0]
+    if not kept:
+        return feed.limit(0)
+    kept = reduce(DataFrame.unionByName, kept)
+    dropped = materialise(every.join(kept, "pos", "left_anti"), "feed-dropped")
+    return feed.join(
+        skew.broadcast_if_small(dropped.withColumnRenamed("pos", position)), position, "left_anti"
+    )
+
+
+def _rounds(rest: DataFrame, hot_rows: int, most: int | None = None) -> tuple[list[DataFrame], DataFrame | None]:
+    """Rows kept by the rounds, and what is left undecided after ``most`` of them, if anything."""
+    kept: list[DataFrame] = []
     while True:
         rest = materialise(rest, "feed-rest")
         if rest.isEmpty():
-            break
+            return kept, None
+        if len(kept) == most:
+            return kept, rest
         by_url = _first_in_group(rest, ["url"], "n_url")
         by_digest = _first_in_group(rest, ["digest"], "n_digest")
         firsts = materialise(
             by_url.join(by_digest, "pos").select("pos", "url", "digest", "n_url", "n_digest"),
             "feed-kept",
         )
-        kept = firsts.select("pos") if kept is None else kept.unionByName(firsts.select("pos"))
+        kept.append(firsts.select("pos"))
         rest = rest.join(firsts.select("pos"), "pos", "left_anti")
         for column, size in (("url", "n_url"), ("digest", "n_digest")):
             taken = firsts.where(F.col(size) > 1)
@@ -217,12 +254,18 @@ def feed_dedup(
                 counts=taken.select(column, F.col(size).alias("n_rows")),
                 hot_rows=hot_rows,
             )
-    if kept is None:
-        return feed.limit(0)
-    dropped = materialise(every.join(kept, "pos", "left_anti"), "feed-dropped")
-    return feed.join(
-        skew.broadcast_if_small(dropped.withColumnRenamed("pos", position)), position, "left_anti"
-    )
+
+
+def _walk(part: pd.DataFrame) -> pd.DataFrame:
+    """The sequential rule over the rows of one component."""
+    part = part.sort_values("pos")
+    urls, digests, kept = set(), set(), []
+    for pos, url, body in zip(part["pos"], part["url"], part["digest"]):
+        if url not in urls and body not in digests:
+            urls.add(url)
+            digests.add(body)
+            kept.append(pos)
+    return pd.DataFrame({"pos": kept})
 
 
 def _first_in_group(rows: DataFrame, keys: Sequence[str], size: str) -> DataFrame:

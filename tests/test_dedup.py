@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from presswork.operators import dedup
+from presswork.operators.components import components
 
 COLUMNS = "position long, naver_url string, title string, content string, journalist_name string, publisher string"
 
@@ -44,6 +45,48 @@ def test_feed_dedup_on_a_chain(spark):
     assert kept_positions(dedup.feed_dedup(feed_rows(spark, pairs))) == sequential(pairs)
 
 
+def chain(rows):
+    """Neighbours share a URL or a content in turn; the order of the feed is shuffled."""
+    pairs = [(f"u{i // 2}", f"c{(i + 1) // 2}") for i in range(rows)]
+    random.Random(7).shuffle(pairs)
+    return pairs
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_feed_dedup_on_a_long_chain_takes_few_jobs(spark, shuffled):
+    pairs = chain(10_000) if shuffled else [(f"u{i // 2}", f"c{(i + 1) // 2}") for i in range(10_000)]
+    group = f"chain-{shuffled}"
+    spark.sparkContext.setJobGroup(group, group)
+    kept = kept_positions(dedup.feed_dedup(feed_rows(spark, pairs)))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert kept == sequential(pairs)
+    assert jobs < 400
+
+
+@pytest.mark.parametrize("solve_rows", [1, 7, 1_000])
+def test_feed_dedup_with_components_of_every_size(spark, solve_rows):
+    rng = random.Random(9)
+    pairs = [(f"u{rng.randrange(90)}", f"c{rng.randrange(110)}") for _ in range(160)] + chain(40)
+    kept = dedup.feed_dedup(feed_rows(spark, pairs), plain_rounds=1, solve_rows=solve_rows)
+    assert kept_positions(kept) == sequential(pairs)
+
+
+def test_components_of_shared_keys(spark):
+    rng = random.Random(3)
+    rows = [(i, f"a{rng.randrange(150)}", f"b{rng.randrange(150)}" if i % 5 else None) for i in range(160)]
+    part = {i: i for i, _, _ in rows}
+    for _ in rows:
+        for key in (1, 2):
+            least = {}
+            for r in rows:
+                least[r[key]] = min(least.get(r[key], part[r[0]]), part[r[0]])
+            part = {r[0]: part[r[0]] if r[key] is None else least[r[key]] for r in rows}
+    df = spark.createDataFrame(rows, "id long, a string, b string")
+    assert {r.id: r.part for r in components(df, "id", ["a", "b"]).collect()} == part
+    assert components(df.limit(0), "id", ["a", "b"]).count() == 0
+
+
 def test_feed_dedup_small_cases(spark):
     assert kept_positions(dedup.feed_dedup(feed_rows(spark, [("A", "1"), ("A", "2"), ("B", "3")]))) == [0, 2]
     assert kept_positions(dedup.feed_dedup(feed_rows(spark, []).limit(0))) == []
