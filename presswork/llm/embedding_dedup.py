@@ -1,12 +1,13 @@
-"""Embedding near-dedup by passes of random trees that are fitted to the table.
-
-Each pass splits the vectors by random hyperplanes, at every node through the median of a sample
-that reached it, so that a dense cone is split as evenly as the rest. All vectors of a leaf are
-compared exactly, in blocks where a leaf is large. Depth and number of passes follow from how
-often probe pairs right at the threshold end in one leaf; where whole comparison costs less, the
-tree has no splits and the result is exact. Verified pairs of all passes are united to
-components, and inside each component every vector is compared with every other, block by block,
-so that link counts are whole.
+"""Embedding near-dedup by sorted projection passes.
+
+Each pass gives every vector a code of concatenated random hashes, one bit a hyperplane. The
+first bits split at the medians of a sample that reached the same prefix, the later ones at the
+medians of the last such prefix, so that the codes of a dense cone differ as those of the rest
+do. Vectors are ordered by code and compared exactly with their neighbours in the order, in
+windows that go on over the borders of partitions; a run of equal prefixes too long for a window
+is compared whole, in blocks. Passes follow from how often probe pairs right at the threshold
+share a prefix. Verified pairs of all passes are united to components, and inside each component
+every vector is compared with every other, block by block, so that link counts are whole.
 """
 
 from __future__ import annotations
@@ -22,31 +23,40 @@ from pyspark.sql import functions as F
 from presswork.llm.common import bounded_batches, components, small
 from presswork.session import materialise
 
-#: Rows of a leaf that are compared at once; a larger leaf is compared in blocks.
-LEAF = 1024
-#: Mean share of ``LEAF`` that leaves may fill, so that few of them are larger.
+#: A vector is compared with at least so many neighbours on either side.
+WINDOW = 1024
+#: Mean share of ``WINDOW`` that runs of equal prefixes may fill, so that few of them are larger.
 ROOM = 0.75
+#: Bits beyond the prefix, which order the vectors of a run.
+ORDER_BITS = 4
+#: Windows a partition of the sorted order holds, and partitions at most.
+PARTITION_WINDOWS, PARTITIONS = 16, 20_000
 MISS = 1e-3
 BLOCK = 512
-#: Rows and values of the sample that trees are fitted to, and sample rows a leaf at least.
+#: Rows and values of the sample that hashes are fitted to, and sample rows a prefix at least.
 SAMPLE_ROWS = (4096, 20_000)
 SAMPLE_VALUES = 4_000_000
-LEAF_SAMPLE = 8
-#: Trees and probes that the passes are measured with; the worst ``1 / SLICE`` of them counts.
+PREFIX_SAMPLE = 8
+#: Trial passes and probes that the passes are measured with; the worst ``1 / SLICE`` of them counts.
 TRIALS = 32
+#: Beyond so many passes it is tried whether comparing everything costs less.
+MOST_PASSES = 64
 PROBES = 1024
 SLICE = 32
 
 
-def passes_needed(n_vectors: int, threshold: float, leaf: float = LEAF, miss: float = MISS) -> int:
-    """Passes after which a pair right at ``threshold`` has stayed apart with probability ``miss``,
+def prefix_bits(n_vectors: int) -> int:
+    """Bits after which a run of equal prefixes holds at most ``ROOM`` of a window, if runs are even."""
+    return max(0, math.ceil(math.log2(max(1, n_vectors) / (ROOM * WINDOW))))
+
+
+def passes_needed(n_vectors: int, threshold: float, miss: float = MISS) -> int:
+    """Passes after which a pair right at ``threshold`` has shared no prefix with probability ``miss``,
     for codes that are spread evenly: the least number, whatever the probes say.
 
-    A pair ends in one leaf when log2(n / leaf) splits agree, each of which does with
-    probability 1 - angle / pi.
+    Each bit agrees with probability 1 - angle / pi, so passes grow with a small power of the table.
     """
-    bits = max(0.0, math.log2(max(1, n_vectors) / leaf))
-    return _passes((1 - math.acos(threshold) / math.pi) ** bits, miss)
+    return _passes((1 - math.acos(threshold) / math.pi) ** prefix_bits(n_vectors), miss)
 
 
 def _passes(together: float, miss: float) -> int:
@@ -75,34 +85,41 @@ def _min_labels(linked: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def _planes(seed: int, k: int, dim: int, depth: int) -> np.ndarray:
-    """Normals of the splits of pass ``k``, one column a level."""
-    return np.random.default_rng([seed, k, dim]).standard_normal((depth, dim)).T
+def _planes(seed: int, k: int, dim: int, bits: int) -> np.ndarray:
+    """Normals of the hashes of pass ``k``, one column a bit."""
+    return np.random.default_rng([seed, k, dim]).standard_normal((bits, dim)).T
+
 
+def _medians(values: np.ndarray, group: np.ndarray, n_groups: int) -> np.ndarray:
+    """Median of the values of each group, of all values for a group without any."""
+    order = np.lexsort((values, group))
+    bounds = np.searchsorted(group[order], np.arange(n_groups + 1))
+    start, end = bounds[:-1], bounds[1:]
+    ranked = values[order]
+    lower = ranked[np.clip((start + end - 1) // 2, 0, len(values) - 1)]
+    upper = ranked[np.clip((start + end) // 2, 0, len(values) - 1)]
+    return np.where(end > start, (lower + upper) / 2, np.median(values))
 
-def _medians(values: np.ndarray) -> np.ndarray:
-    """Split value of every node, level by level, from the sample's projections (rows x levels)."""
-    node, cuts = np.zeros(len(values), dtype=np.int64), []
-    for level in range(values.shape[1]):
-        column = values[:, level]
-        order = np.lexsort((column, node))
-        bounds = np.searchsorted(node[order], np.arange(2**level + 1))
-        start, end = bounds[:-1], bounds[1:]
-        middle = np.minimum((start + end) // 2, len(values) - 1)
-        ranked = column[order]
-        cut = np.where(end - start > 1, (ranked[np.maximum(middle - 1, 0)] + ranked[middle]) / 2, ranked[middle])
-        cuts.append(np.where(end > start, cut, 0.0))
-        node = 2 * node + (column > cuts[-1][node])
-    return np.concatenate(cuts) if cuts else np.empty(0)
 
+def _cuts(values: np.ndarray, fitted: int) -> list[np.ndarray]:
+    """Split values of every bit from the sample's projections (rows x bits): one for each prefix of
+    the bits before it, but of the first ``fitted`` bits at most."""
+    prefix, cuts = np.zeros(len(values), dtype=np.int64), []
+    for bit in range(values.shape[1]):
+        column = values[:, bit]
+        cuts.append(_medians(column, prefix, 2 ** min(bit, fitted)).astype(np.float32))
+        if bit < fitted:
+            prefix = 2 * prefix + (column > cuts[bit][prefix])
+    return cuts
 
-def _route(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Node of each row at every level, the root and the leaf among them (rows x levels + 1)."""
-    nodes = np.zeros((len(values), values.shape[1] + 1), dtype=np.int64)
-    for level in range(values.shape[1]):
-        node = nodes[:, level]
-        nodes[:, level + 1] = 2 * node + (values[:, level] > cuts[2**level - 1 + node])
-    return nodes
+
+def _codes(values: np.ndarray, cuts: list[np.ndarray], fitted: int) -> np.ndarray:
+    """Code of each row after every bit, the empty code first (rows x bits + 1)."""
+    codes = np.zeros((len(values), len(cuts) + 1), dtype=np.int64)
+    for bit, cut in enumerate(cuts):
+        column = values[:, bit]
+        codes[:, bit + 1] = 2 * codes[:, bit] + (column > cut[codes[:, min(bit, fitted)]])
+    return codes
 
 
 def _probe_pairs(units: np.ndarray, threshold: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -121,36 +138,127 @@ def _probe_pairs(units: np.ndarray, threshold: float, rng: np.random.Generator)
     return np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs])
 
 
-def fit(units: np.ndarray, n_vectors: int, threshold: float, miss: float, seed: int) -> tuple[int, np.ndarray]:
-    """Depth and split values (passes x nodes) of the trees for ``n_vectors`` vectors like ``units``.
+def fit(units: np.ndarray, n_vectors: int, threshold: float, miss: float, seed: int) -> tuple[int, list]:
+    """Fitted bits, and the split values of every pass, for ``n_vectors`` vectors like ``units``.
 
-    Of the probe pairs the slice that half of the trial trees part most often is judged by the
-    other half. Of all depths the one that ships and compares the fewest rows is taken; at depth 0
-    everything is compared in a single pass.
+    Of the probe pairs the slice that half of the trial passes part most often is judged by the
+    other half. A prefix has as many bits as the table needs, whether or not the sample reaches so far.
     """
-    dim, deepest = units.shape[1], 0
-    while n_vectors / 2**deepest > ROOM * LEAF and 2 ** (deepest + 1) * LEAF_SAMPLE <= len(units):
-        deepest += 1
-    hits = np.zeros((2, deepest + 1, 0))
-    if deepest:
+    dim, bits = units.shape[1], prefix_bits(n_vectors)
+    fitted = min(bits + ORDER_BITS, max(0, int(math.log2(max(1, len(units) / PREFIX_SAMPLE)))))
+    passes = passes_needed(n_vectors, threshold, miss)
+    if bits:
         left, right = _probe_pairs(units, threshold, np.random.default_rng([seed, dim]))
-        hits = np.zeros((2, deepest + 1, len(left)))
+        hits = np.zeros((2, len(left)))
         for k in range(TRIALS):
-            planes = _planes(seed, k, dim, deepest)
-            cuts = _medians(units @ planes)
-            hits[k % 2] += (_route(left @ planes, cuts) == _route(right @ planes, cuts)).T
-    best = None
-    for depth in range(deepest + 1):
-        rows, passes = n_vectors / 2**depth, 1
-        if depth:
-            worst = np.argsort(hits[0, depth], kind="stable")[: max(1, hits.shape[2] // SLICE)]
-            together = hits[1, depth, worst].mean() / (TRIALS // 2)
-            passes = max(passes_needed(n_vectors, threshold, rows, miss), _passes(together, miss))
-        cost = passes * (1 if rows <= ROOM * LEAF else max(1.0, 2 * rows / LEAF))
-        if best is None or cost < best[0]:
-            best = cost, depth, passes
-    _, depth, passes = best
-    return depth, np.stack([_medians(units @ _planes(seed, k, dim, depth)) for k in range(passes)])
+            planes = _planes(seed, k, dim, bits)
+            cuts = _cuts(units @ planes, min(fitted, bits))
+            same = [_codes(side @ planes, cuts, min(fitted, bits))[:, -1] for side in (left, right)]
+            hits[k % 2] += same[0] == same[1]
+        worst = np.argsort(hits[0], kind="stable")[: max(1, len(left) // SLICE)]
+        passes = max(passes, _passes(hits[1, worst].mean() / (TRIALS // 2), miss))
+    if passes > MOST_PASSES and 2 * passes * WINDOW >= n_vectors:
+        # The codes tell these vectors apart too badly: one run of all of them costs less.
+        return 0, [[]]
+    return fitted, [_cuts(units @ _planes(seed, k, dim, bits + ORDER_BITS), fitted) for k in range(passes)]
+
+
+def _spanning(vectors: np.ndarray, ids: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what is linked among some vectors: each id with the first of its group."""
+    linked = vectors @ vectors.T >= threshold
+    np.fill_diagonal(linked, True)
+    some = np.nonzero(linked.sum(axis=1) > 1)[0]
+    labels = some[_min_labels(linked[np.ix_(some, some)])] if len(some) else some
+    moved = labels != some
+    return ids[some[moved]], ids[labels[moved]]
+
+
+def _window_links(coded: DataFrame, kind: str, n_rows: int, threshold: float) -> DataFrame:
+    """Spanning links among neighbours of the sorted order of every pass.
+
+    A partition of the order is read in pieces of ``WINDOW`` rows, each compared with the one before
+    it. The first and last ``WINDOW`` rows of a partition are kept as well, and those on the two sides
+    of a border are compared like pieces. A partition too short for that is dealt out again.
+    """
+    order = ["dim", "pass", "code", "rep"]
+    parts = max(1, min(PARTITIONS, n_rows // (PARTITION_WINDOWS * WINDOW)))
+    window = WINDOW
+
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting, n = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            n += len(batch)
+            while n >= window:
+                whole = pd.concat(waiting, ignore_index=True)
+                yield whole.iloc[:window]
+                waiting, n = [whole.iloc[window:]], n - window
+        if n:
+            yield pd.concat(waiting, ignore_index=True)
+
+    def links_of(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for _, part in rows.groupby(["dim", "pass"]):
+            a, b = _spanning(_matrix(part["v"]), part["rep"].to_numpy(), threshold)
+            yield pd.DataFrame({"a": a, "b": b})
+
+    def filled(found: pd.DataFrame) -> pd.DataFrame:
+        columns = ["a", "b", "border", "n", "rep", "dim", "pass", "v"]
+        return found.assign(**{name: None for name in columns if name not in found})[columns]
+
+    def slide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before, total, part = None, 0, 0
+        for piece in pieces(batches):
+            part = int(piece["part"].iloc[0])
+            if before is None:
+                yield filled(piece.assign(border=part - 1))
+            both = piece if before is None else pd.concat([before, piece], ignore_index=True)
+            for found in links_of(both):
+                yield filled(found)
+            before, total = both.iloc[-window:], total + len(piece)
+        if before is not None:
+            yield filled(before.assign(border=part))
+            yield filled(pd.DataFrame({"n": [total]}))
+
+    schema = f"a long, b long, border int, n long, rep long, dim int, pass int, v {kind}"
+    while True:
+        ordered = coded.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        out = ordered.withColumn("part", F.spark_partition_id()).mapInPandas(slide, schema)
+        out = materialise(out, "windows")
+        counts = out.where("n IS NOT NULL").agg(F.count("n"), F.min("n")).first()
+        if parts == 1 or (counts[0] == parts and counts[1] >= window):
+            break
+        parts //= 2
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([pd.DataFrame({"a": [], "b": []}, dtype="int64"), *links_of(rows)])
+
+    sides = out.where("border IS NOT NULL").select("border", "rep", "dim", "pass", "v")
+    across = sides.groupBy("border").applyInPandas(compare, "a long, b long")
+    return out.where("a IS NOT NULL").select("a", "b").unionByName(across)
+
+
+def _run_links(coded: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """Spanning links inside the runs of equal prefixes that are longer than a window."""
+    run = ["dim", "pass", "prefix"]
+    coded = coded.withColumn("prefix", F.shiftright("code", ORDER_BITS))
+    sizes = coded.groupBy(*run).count().where(F.col("count") > WINDOW)
+    pieces = F.ceil(2 * F.col("count") / WINDOW).cast("int")
+    sizes = materialise(sizes.select(*run, pieces.alias("pieces")), "run_sizes")
+    # Two pieces at a time: every pair of rows of the run meets, those of one piece several times.
+    others = F.array_remove(F.sequence(F.lit(0), F.col("pieces") - 1), F.col("piece"))
+    in_pieces = (
+        coded.join(small(sizes), run)
+        .withColumn("piece", F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("pieces")).cast("int"))
+        .withColumn("other", F.explode(others))
+        .select(*run, F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "rep", "v")
+    )
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("rep")
+        a, b = _spanning(_matrix(part["v"]), part["rep"].to_numpy(), threshold)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return in_pieces.groupBy(*run, "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -168,9 +276,10 @@ def near_duplicates(
     are compared once and counted as often as they occur; rows that share an id are one node.
     Vectors of different lengths never link. An empty table gives an empty result.
 
-    A pass moves every vector once, and more often where a leaf holds more than ``LEAF``. Passes
-    grow with the table and with how closely its vectors lie (``fit``); counting links inside a
-    component costs its size squared, in blocks of ``BLOCK`` vectors of which a task holds two.
+    A pass moves every vector once, those at partition borders twice, and those of a run above
+    ``WINDOW`` more often. Passes grow with a small power of the table and with how closely its
+    vectors lie (``fit``). Equal codes are ordered by id. Counting links inside a component costs
+    its size squared, in blocks of ``BLOCK`` vectors of which a task holds two.
     """
     spark = df.sparkSession
     bounded_batches(spark, 4096)
@@ -184,54 +293,36 @@ def near_duplicates(
     )
     distinct = materialise(distinct.withColumn("dim", F.size("v")), "vectors")
 
-    trees = {}
-    for dim, count in [tuple(r) for r in distinct.groupBy("dim").count().where(F.col("count") > LEAF).collect()]:
-        wanted = min(max(SAMPLE_ROWS[0], count * 2 * LEAF_SAMPLE // LEAF), SAMPLE_ROWS[1], SAMPLE_VALUES // dim + 64)
-        drawn = F.pmod(F.xxhash64(F.lit(seed), "rep", "v"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, wanted / count))
-        sample = distinct.where(F.col("dim") == dim).where(drawn).select("rep", "v").toPandas().sort_values("rep")
-        if len(sample):
-            trees[dim] = fit(_matrix(sample["v"]), count, threshold, miss, seed)
+    hashes, n_rows = {}, 0
+    for dim, count in [tuple(r) for r in distinct.groupBy("dim").count().collect()]:
+        hashes[dim] = 0, [[]]
+        if count > WINDOW:
+            wanted = min(max(SAMPLE_ROWS[0], count * 2 * PREFIX_SAMPLE // WINDOW), SAMPLE_ROWS[1], SAMPLE_VALUES // dim + 64)
+            chance = int((1 << 30) * min(1.0, wanted / count))
+            drawn = F.pmod(F.xxhash64(F.lit(seed), "rep", "v"), F.lit(1 << 30)) < chance
+            sample = distinct.where(F.col("dim") == dim).where(drawn).select("rep", "v").toPandas().sort_values("rep")
+            if len(sample):
+                hashes[dim] = fit(_matrix(sample["v"]), count, threshold, miss, seed)
+        n_rows += count * len(hashes[dim][1])
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, part in batch.groupby("dim"):
-                depth, cuts = trees.get(int(dim), (0, np.empty((1, 0))))
+                fitted, passes = hashes[int(dim)]
                 units = _matrix(part["v"])
-                leaves = [_route(units @ _planes(seed, k, int(dim), depth), cut)[:, -1] for k, cut in enumerate(cuts)]
+                codes = [
+                    _codes(units @ _planes(seed, k, int(dim), len(cuts)), cuts, fitted)[:, -1]
+                    for k, cuts in enumerate(passes)
+                ]
                 yield pd.DataFrame(
-                    {"rep": part["rep"], "dim": part["dim"], "leaves": list(np.stack(leaves, axis=1)), "v": part["v"]}
+                    {"rep": part["rep"], "dim": part["dim"], "codes": list(np.stack(codes, axis=1)), "v": part["v"]}
                 )
 
     kind = rows.schema["v"].dataType.simpleString()
-    signed = distinct.select("rep", "dim", "v").mapInPandas(sign, f"rep long, dim int, leaves array<long>, v {kind}")
-    signed = materialise(signed, "leaves")
-    leaf = ["dim", "pass", "leaf"]
-    sizes = signed.select("dim", F.posexplode("leaves").alias("pass", "leaf")).groupBy(*leaf).count()
-    pieces = F.when(F.col("count") <= LEAF, 1).otherwise(F.ceil(2 * F.col("count") / LEAF)).cast("int")
-    # A leaf of one row has nothing to compare.
-    sizes = materialise(sizes.where("count > 1").select(*leaf, pieces.alias("pieces")), "leaf_sizes")
-    piece = F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("pieces")).cast("int")
-    # Two pieces at a time: every pair of rows of the leaf meets, those of one piece several times.
-    others = F.when(F.col("pieces") == 1, F.array(F.lit(0))).otherwise(
-        F.array_remove(F.sequence(F.lit(0), F.col("pieces") - 1), F.col("piece"))
-    )
-    in_leaves = (
-        signed.select("rep", "dim", "v", F.posexplode("leaves").alias("pass", "leaf"))
-        .join(small(sizes), leaf)
-        .withColumn("piece", piece)
-        .withColumn("other", F.explode(others))
-        .select(*leaf, F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "rep", "v")
-    )
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        """Spanning links among the rows of a leaf, or of two pieces of it."""
-        part = part.sort_values("rep")
-        units, ids = _matrix(part["v"]), part["rep"].to_numpy()
-        labels = _min_labels((units @ units.T >= threshold) | np.eye(len(ids), dtype=bool))
-        moved = labels != np.arange(len(ids))
-        return pd.DataFrame({"a": ids[moved], "b": ids[labels[moved]]})
-
-    links = in_leaves.groupBy(*leaf, "lo", "hi").applyInPandas(compare, "a long, b long")
+    signed = distinct.select("rep", "dim", "v").mapInPandas(sign, f"rep long, dim int, codes array<long>, v {kind}")
+    signed = materialise(signed, "codes")
+    coded = signed.select("rep", "dim", "v", F.posexplode("codes").alias("pass", "code"))
+    links = _window_links(coded, kind, n_rows, threshold).unionByName(_run_links(coded, threshold, seed))
     found = materialise(components(links), "components")
 
     heads = found.select(F.col("component").alias("node"), "component").distinct()

@@ -75,14 +75,14 @@ def test_vectors_that_link_with_nothing(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_passes_grow_with_the_table():
-    few, many = (embedding_dedup.passes_needed(n, 0.95) for n in (10_000, 10_000_000))
-    assert few < many
+def test_passes_grow_with_a_small_power_of_the_table():
+    few, many = (embedding_dedup.passes_needed(n, 0.95) for n in (1_000_000, 100_000_000))
+    assert few < many < 2.4 * few
 
 
 def test_embedding_recall_in_a_dense_cone(spark, monkeypatch):
     """2,000 of 4,399 vectors at a pairwise cosine near 0.9, with pairs right above the threshold."""
-    monkeypatch.setattr(embedding_dedup, "LEAF", 128)
+    monkeypatch.setattr(embedding_dedup, "WINDOW", 128)
     rng = np.random.default_rng(5)
     units = embedding_dedup.unit(rng.standard_normal((4000, 64)))
     centre = units[0]
@@ -95,18 +95,44 @@ def test_embedding_recall_in_a_dense_cone(spark, monkeypatch):
     a, b = np.nonzero(np.triu(full @ full.T >= 0.95, 1))
     component = reachable(range(len(table)), zip(a.tolist(), b.tolist()))
     df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(table)], "vec_id long, embedding array<float>")
-    got = {r.vec_id: r.component_id for r in embedding_dedup.near_duplicates(df).collect()}
+    out = embedding_dedup.near_duplicates(df).collect()
+    got = {r.vec_id: r.component_id for r in out}
+    links = np.bincount(np.concatenate([a, b]), minlength=len(table))
+    assert sum(r.n_links == links[r.vec_id] for r in out) >= 0.995 * len(table)
     assert len(a) >= 400
     assert sum(got[i] == got[j] for i, j in zip(a.tolist(), b.tolist())) >= 0.995 * len(a)
     assert sum(got[i] == c for i, c in component.items()) >= 0.995 * len(table)
 
 
-def test_trees_split_where_vectors_are_spread():
-    units = embedding_dedup.unit(np.random.default_rng(6).standard_normal((4096, 64)))
-    depth, cuts = embedding_dedup.fit(units, 100_000, 0.95, 1e-3, 11)
-    assert depth >= 5 and 2 <= len(cuts) < 40
-    leaves = np.bincount(embedding_dedup._route(units @ embedding_dedup._planes(11, 0, 64, depth), cuts[0])[:, -1])
-    assert leaves.max() <= 2 * leaves.mean()
+def test_codes_split_where_vectors_are_spread(monkeypatch):
+    """Runs stay even beyond the bits that the sample reaches."""
+    monkeypatch.setattr(embedding_dedup, "ORDER_BITS", 0)
+    units = embedding_dedup.unit(np.random.default_rng(6).standard_normal((4096, 64)) + 3)
+    fitted, passes = embedding_dedup.fit(units[:512], 4096 * 16 * 12, 0.95, 1e-3, 11)
+    assert fitted == 6 and len(passes[0]) == 10
+    codes = embedding_dedup._codes(units @ embedding_dedup._planes(11, 0, 64, 10), passes[0], fitted)
+    sizes = np.bincount(codes[:, 8], minlength=256)
+    assert sizes.max() <= 6 * sizes.mean() and (sizes > 0).mean() > 0.9
+
+
+@pytest.mark.parametrize("batch", [7, 64])
+def test_windows_go_on_over_borders(spark, monkeypatch, batch):
+    """Every pair at most a window apart in the order is found, wherever partitions end."""
+    monkeypatch.setattr(embedding_dedup, "WINDOW", 16)
+    monkeypatch.setattr(embedding_dedup, "PARTITION_WINDOWS", 2)
+    monkeypatch.setattr(embedding_dedup, "bounded_batches", lambda spark, rows: None)
+    # Every row has one partner, sixteen places on; all other vectors are at right angles.
+    rows = []
+    for i in range(320):
+        vector = [0.0] * 160
+        vector[i % 16 + 16 * (i // 32)] = 1.0
+        rows.append((i, 160, vector, 0, i))
+    coded = spark.createDataFrame(rows, "rep long, dim int, v array<float>, pass int, code long").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    links = embedding_dedup._window_links(coded, "array<float>", len(rows), 0.95).distinct().collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {(r.a, r.b) for r in links} == {(i + 16, i) for i in range(320) if i // 16 % 2 == 0}
 
 
 # --- MinHash ---------------------------------------------------------------------------------------
