@@ -62,11 +62,11 @@ CONTENT_RULES = [
     Rule("*", "id", "articleBodyContents", joined=True),
 ]
 
-# All named references of HTML 5, the frequent ones first because a map is searched in order.
-_FREQUENT = ["amp", "nbsp", "quot", "lt", "gt", "apos", "middot", "hellip", "copy"]
-_NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+# All named references of HTML 5, the frequent ones first because a map is searched in order. Only
+# the names that HTML 5 lists without a semicolon may lack it: "&Andes" and "&And" stay as they are.
+_FREQUENT = ["amp;", "nbsp;", "quot;", "lt;", "gt;", "apos;", "middot;", "hellip;", "copy;"]
 _ENTITIES = "\u0002".join(
-    f"{name}\u0001{_NAMED[name]}" for name in [*_FREQUENT, *(n for n in _NAMED if n not in _FREQUENT)]
+    f"{name}\u0001{html5[name]}" for name in [*_FREQUENT, *(n for n in html5 if n not in _FREQUENT)]
 )
 _TAG = "<(?:/?[a-zA-Z]|[!?])[^>]*>"
 _NODE_BREAK = "\u0000"
@@ -82,13 +82,14 @@ def visible_markup(html: Column) -> Column:
 def decode_entities(text: Column) -> Column:
     """Decode named, decimal and hexadecimal character references in a single pass.
 
-    The closing semicolon may be missing; unknown references stay as they are.
+    The closing semicolon may be missing where HTML 5 allows it and no letter, digit or ``_``
+    follows; unknown references stay as they are.
     """
     names = F.str_to_map(F.lit(_ENTITIES), F.lit("\u0002"), F.lit("\u0001"))
-    reference = "^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);?"
+    reference = "^(?:#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z]\\w*);?"
 
     def number(ref: Column) -> Column:
-        digits = F.regexp_replace(ref, "^#[xX]?0*", "")
+        digits = F.regexp_replace(ref, "^#[xX]?0*|;$", "")
         return (
             F.when(~ref.startswith("#") | ~F.length(digits).between(1, 7), None)
             .when(ref.startswith("#x") | ref.startswith("#X"), F.conv(digits, 16, 10))
@@ -110,7 +111,7 @@ def decode_entities(text: Column) -> Column:
                 ),
             )
 
-        return let(F.regexp_extract(part, reference, 1), rebuilt)
+        return let(F.regexp_extract(part, reference, 0), rebuilt)
 
     return F.array_join(
         F.transform(F.split(text, "&"), lambda part, i: F.when(i == 0, part).otherwise(piece(part))), ""
@@ -206,7 +207,7 @@ def text_of(markup: Column) -> Column:
 
 
 def first_text(html: Column, rules: Sequence[Rule], tags: Column | None = None) -> Column:
-    """Trimmed text of the first rule whose element exists, else ''.
+    """Trimmed text of the first rule whose element exists, else ''; null without a page.
 
     A joined rule keeps a mark between the text nodes, so that each is trimmed; without
     marks the whole text is the only node.
@@ -226,7 +227,7 @@ def first_text(html: Column, rules: Sequence[Rule], tags: Column | None = None)
         return F.split(decode_entities(F.regexp_replace(inner, F.lit(_TAG), mark)), _NODE_BREAK)
 
     text = F.array_join(F.transform(let(let(tags, chosen), nodes), strip), "")
-    return F.coalesce(text, F.lit(""))
+    return F.coalesce(text, F.when(html.isNotNull(), F.lit("")))
 
 
 def extract_title(html: Column, rules: Sequence[Rule] = TITLE_RULES, tags: Column | None = None) -> Column:

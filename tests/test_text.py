@@ -201,3 +201,9 @@ def test_entities_decode_like_the_standard_library(evaluate):
     ]
     expected = [html_lib.unescape(v) for v in values[:4]] + ["Éé&#0;&#xD800;", "&amp;amp;"]
     assert evaluate(values, html.decode_entities(F.col("v"))) == expected
+
+
+def test_only_old_names_decode_without_semicolon(evaluate):
+    values = ["R&And the", "&Re &Im &le &amp_x &ampx", "&copy 24 &amp &lté", "&And; &Re;"]
+    expected = [*values[:2], "© 24 & <é", "⩓ ℜ"]
+    assert evaluate(values, html.decode_entities(F.col("v"))) == expected
