@@ -7,7 +7,7 @@ from tests.oracle import compare
 BODY = "<html><body><article><h1>{}</h1><p>{}</p></article><footer>&copy; x &middot; y</footer></body></html>"
 
 
-@pytest.mark.parametrize("name", ["html_extract"])
+@pytest.mark.parametrize("name", ["html_extract", "html_extract_full"])
 def test_titles_cut_inside_a_reference(spark, tmp_path, name):
     """The text after the title goes on where the cut was: "&" and "And" are no reference."""
     pairs = [(f"Title {cut}", word) for cut in ("&", "&a", "&amp", "&quot") for word in ("And the", "Re", "le", "_x", "Été")]
