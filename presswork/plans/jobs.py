@@ -199,8 +199,7 @@ def save_scores(articles_path: str, updates: DataFrame, asof: Column) -> UpdateT
     touched = [row.local_date for row in days.select("local_date").distinct().collect()]
     if not touched:
         return UpdateTotals(0, 0, n - no_id, no_id)
-    held = F.col("local_date").isin([day for day in touched if day is not None])
-    part = articles.where(held | F.col("local_date").isNull() if None in touched else held)
+    part = articles.where(partitions.among("local_date", touched))
     staged = materialise(
         scoring.apply_scores(part, skew.broadcast_if_small(fresh), asof, matched), "scored-days"
     )

@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,6 +29,13 @@ def folder_name(column: str, value: date | int | None) -> str:
     return f"{column}={NO_VALUE if value is None else value}"
 
 
+def among(column: str, values: Sequence[date | int | None]) -> Column:
+    """Rows of these partitions, as one text: a list of many days would be built call by call."""
+    known = [f"date'{value}'" if isinstance(value, date) else str(value) for value in values if value is not None]
+    held = [f"{column} in ({', '.join(known)})"] if known else []
+    return F.expr(" or ".join(held + [f"{column} is null"] * (None in values)) or "false")
+
+
 def _changes(table_path: str) -> str:
     return f"{table_path.rstrip('/')}_changes"
 
@@ -47,26 +54,28 @@ def stage(
     alone that has other files by then.
     """
     names = [folder_name(column, value) for value in values]
-    files = {name: folders.children(spark, f"{table_path}/{name}") for name in names}
-    table = read_table(spark, table_path, schema)
-    held = F.col(column).isin([value for value in values if value is not None])
-    part = table.where(held | F.col(column).isNull() if None in values else held)
+    held = folders.grandchildren(spark, table_path)
+    files = {name: held.get(name, []) for name in names}
+    part = read_table(spark, table_path, schema).where(among(column, values))
     run = f"{_changes(table_path)}/{uuid.uuid4().hex}"
     rows = new_rows(part).hint("rebalance", F.col(column))
-    rows.write.partitionBy(column).parquet(f"{run}/staged")
+    # Each task puts its own files there: nothing counts before the plan is written.
+    rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(column).parquet(f"{run}/staged")
     folders.write_text(spark, f"{run}/{PLAN}", json.dumps(files))
 
 
-def _put_in_place(spark: SparkSession, run: str, table_path: str, name: str, files: list[str]) -> bool:
+def _put_in_place(
+    spark: SparkSession, run: str, table_path: str, name: str, files: list[str], staged: list[str], moved: bool
+) -> bool:
     """Move one partition. The old folder goes first, so its place tells how far an earlier run came."""
-    old, new, place = f"{run}/old/{name}", f"{run}/staged/{name}", f"{table_path}/{name}"
-    if not folders.exists(spark, old):
+    place = f"{table_path}/{name}"
+    if not moved:
         if folders.children(spark, place) != files:
             return False
-        folders.move(spark, place, old)
+        folders.move(spark, place, f"{run}/old/{name}")
     # File by file: rows appended since the old folder left keep their place.
-    for file in folders.children(spark, new):
-        folders.move(spark, f"{new}/{file}", f"{place}/{file}")
+    for file in staged:
+        folders.move(spark, f"{run}/staged/{name}/{file}", f"{place}/{file}")
     return True
 
 
@@ -80,7 +89,12 @@ def finish(spark: SparkSession, table_path: str) -> list[str]:
         run = f"{_changes(table_path)}/{name}"
         if folders.exists(spark, f"{run}/{PLAN}"):
             plan = json.loads(folders.read_text(spark, f"{run}/{PLAN}"))
-            left += [folder for folder, files in plan.items() if not _put_in_place(spark, run, table_path, folder, files)]
+            staged, moved = folders.grandchildren(spark, f"{run}/staged"), set(folders.children(spark, f"{run}/old"))
+
+            def placed(folder: str) -> bool:
+                return _put_in_place(spark, run, table_path, folder, plan[folder], staged.get(folder, []), folder in moved)
+
+            left += [folder for folder, done in zip(plan, folders.each(list(plan), placed)) if not done]
             # Without a plan the rest of the folder means nothing.
             folders.remove(spark, f"{run}/{PLAN}")
         folders.remove(spark, run)

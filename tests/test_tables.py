@@ -142,3 +142,18 @@ def test_discard_deletes_only_written_tables(spark, tmp_path):
     assert two.count() == 3 and spark.read.parquet(elsewhere).count() == 4
     with pytest.raises(Exception):
         one.collect()
+
+
+def test_many_days_take_few_listings(spark, tmp_path, monkeypatch):
+    """One look at each day before it is moved; what is staged is listed at once."""
+    path, days = str(tmp_path / "many"), folders.FEW + 8
+    rows = spark.range(days * 2).selectExpr("id", "date'2024-01-01' + cast(id div 2 as int) as local_date")
+    rows.hint("rebalance", "local_date").write.partitionBy("local_date").parquet(path)
+    looked, children = [], folders.children
+    monkeypatch.setattr(folders, "children", lambda spark, path: looked.append(path) or children(spark, path))
+    values = [datetime.date(2024, 1, 1) + datetime.timedelta(k) for k in range(days)]
+    partitions.replace(spark, path, "local_date", values, lambda part: part.where("id % 2 = 0"))
+    left = tables.read_table(spark, path)
+    assert sorted(r.id for r in left.collect()) == list(range(0, days * 2, 2)) and len(looked) <= days + 5
+    assert left.where(partitions.among("local_date", [*values[:2], None])).count() == 2
+    assert left.where(partitions.among("local_date", [])).count() == 0
