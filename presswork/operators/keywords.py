@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.functions.once import let
 from presswork.operators import skew
 from presswork.session import discard, materialise
 
@@ -13,13 +12,14 @@ GRAM = 4
 
 
 def grams(text: Column, size: Column) -> Column:
-    """Distinct runs of ``size`` code points, in time linear in the text; none if it is shorter."""
+    """Distinct runs of ``size`` code points, in time linear in the text; none if it is shorter.
 
-    def runs(chars: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(chars) - size + 1)
-        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, size), "")))
-
-    return F.when(F.length(text) >= size, let(F.split(text, ""), runs)).otherwise(F.array().cast("array<string>"))
+    A pattern that matches nothing but looks ahead finds the run at every place; none begins at the
+    second half of a code point that Java holds as two.
+    """
+    run = F.concat(F.lit("(?s)(?=([^\\uDC00-\\uDFFF].{"), (size - 1).cast("string"), F.lit("}))"))
+    runs = F.array_distinct(F.regexp_extract_all(text, run, F.lit(1)))
+    return F.when(F.length(text) >= size, runs).otherwise(F.array().cast("array<string>"))
 
 
 def _all_grams(text: Column, sizes: list[int]) -> Column:

@@ -52,3 +52,10 @@ def test_grams_are_code_points(evaluate):
     assert evaluate(["a😀가b", "ab", "", None], keywords.grams(F.col("v"), F.lit(3)), "string") == [
         ["a😀가", "😀가b"], [], [], [],
     ]
+
+
+def test_grams_are_cut_without_a_lambda(spark):
+    """A lambda per place of a text is not compiled: it took most of the time of the join."""
+    cut = spark.createDataFrame([("abcde",)], "v string").select(keywords.grams(F.col("v"), F.lit(4)).alias("g"))
+    assert "lambda" not in cut._jdf.queryExecution().toString()
+    assert cut.first().g == ["abcd", "bcde"]
