@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,9 +14,25 @@ from presswork import settings as S
 from presswork.functions.dates import local_date
 
 
+#: Spark lists many folders with a task each, up to this many tasks; by default with 10,000.
+LISTING, LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 64
+
+
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Lower the number of listing tasks while a table is opened: a task costs more than its folder."""
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, str(min(int(before), LISTING_TASKS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING, before)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    with _few_listing_tasks(spark):
+        return reader.parquet(path)
 
 
 def with_local_date(articles: DataFrame) -> DataFrame:

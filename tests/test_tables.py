@@ -157,3 +157,17 @@ def test_many_days_take_few_listings(spark, tmp_path, monkeypatch):
     assert sorted(r.id for r in left.collect()) == list(range(0, days * 2, 2)) and len(looked) <= days + 5
     assert left.where(partitions.among("local_date", [*values[:2], None])).count() == 2
     assert left.where(partitions.among("local_date", [])).count() == 0
+
+
+def test_many_folders_are_listed_with_few_tasks(spark, tmp_path):
+    """A task per folder took most of the time of opening a table of many days."""
+    path, days = f"{tmp_path}/articles", tables.LISTING_TASKS + 20
+    rows = spark.range(days).selectExpr("id", "date'2024-01-01' + cast(id as int) as local_date")
+    rows.repartition(1).write.partitionBy("local_date").parquet(path)
+    before, tracker = spark.conf.get(tables.LISTING), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "opens a table")
+    table = tables.read_table(spark, path)
+    spark.sparkContext.setJobGroup("other", "anything else")
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert 1 < max(tracker.getStageInfo(s).numTasks for s in stages) <= tables.LISTING_TASKS
+    assert spark.conf.get(tables.LISTING) == before and table.count() == days
